@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import splitting
+from lectern.llm import leaks, sentences, splitting
 from lectern.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +24,24 @@ def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.pieces(_oversized(spark, folder))
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.exact_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p6_matches(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p6_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leaked_documents(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return sentences.sentences(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"p2_found": p2_found, "p2_pieces": p2_pieces}
+    return {"p2_found": p2_found, "p2_pieces": p2_pieces, "p6_found": p6_found, "p6_matches": p6_matches, "p6_documents": p6_documents, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
