@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import leaks, sentences, splitting
+from lectern.llm import leaks, neardup, sentences, splitting
 from lectern.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.pieces(_oversized(spark, folder))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.similar_pairs(table(spark, folder, "chunks"))
+
+
+def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.groups(table(spark, folder, "chunks"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.exact_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
@@ -41,7 +49,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p2_found": p2_found, "p2_pieces": p2_pieces, "p6_found": p6_found, "p6_matches": p6_matches, "p6_documents": p6_documents, "p8_found": p8_found}
+    return {"p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_matches": p6_matches, "p6_documents": p6_documents, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
