@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import leaks, neardup, sentences, splitting
+from lectern.llm import leaks, markup, mixing, neardup, sentences, splitting
 from lectern.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ def _oversized(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.oversized(table(spark, folder, "chunks"), table(spark, folder, "chunking_policies"))
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.units(table(spark, folder, "extraction_results"))
+
+
+def p1_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.clean(table(spark, folder, "extraction_results"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.oversized_keys(_oversized(spark, folder))
 
@@ -44,12 +52,26 @@ def p6_documents(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaked_documents(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.unreachable(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+
+
+def p7_mix(spark: SparkSession, folder: str) -> DataFrame:
+    sizes, solved = mixing.solve_exact(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+    return mixing.mix(sizes, solved)
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    sizes, solved = mixing.solve_exact(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+    return mixing.shares(mixing.mix(sizes, solved), solved)
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.sentences(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_matches": p6_matches, "p6_documents": p6_documents, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_clean": p1_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_matches": p6_matches, "p6_documents": p6_documents, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
