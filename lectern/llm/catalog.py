@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import leaks, markup, mixing, neardup, sentences, splitting
+from lectern.llm import leaks, markup, mixing, neardup, neighbours, sentences, splitting
 from lectern.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,14 @@ def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.groups(table(spark, folder, "chunks"))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.close_pairs(table(spark, folder, "embedded_chunks"))
+
+
+def p5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.neighbours(table(spark, folder, "embedded_chunks"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.exact_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
@@ -71,7 +79,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_clean": p1_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_matches": p6_matches, "p6_documents": p6_documents, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_clean": p1_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_neighbours": p5_neighbours, "p6_found": p6_found, "p6_matches": p6_matches, "p6_documents": p6_documents, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
