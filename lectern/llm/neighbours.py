@@ -4,7 +4,7 @@ Vectors of one model and width form a collection. A bounded sample of it trains
 number of cells follows the collection's size) and ``BOOKS`` full-dimensional codebooks, each fitted to the residuals of the
 sum so far. Every vector is then encoded by beam search, as the sum of one codeword per book, and its code and the norm of
 that sum are stored. A query looks into its nearest cells: lookup tables of its products with all codewords score the
-cell's codes (sum of table entries less half the stored norm), the best are reranked with exact cosines.
+cell's codes (sum of table entries over the stored norm), the best are reranked with exact cosines.
 
 How many cells a query looks into is measured, not assumed: a bounded sample of queries is compared with every vector, and
 the least number of cells that reaches ``AIM`` of their true neighbours is taken. A cell that holds very many vectors or
@@ -29,7 +29,7 @@ SAMPLE, SAMPLE_VALUES = 16_384, 16_777_216
 #: Vectors of a cell aimed at, and most cells of a collection.
 CELL, MAX_CELLS = 1_024, 65_536
 #: Codebooks, codewords of each, width of the beam, candidates of a block that are reranked.
-BOOKS, WORDS, BEAM, RERANK = 8, 256, 4, 64
+BOOKS, WORDS, BEAM, RERANK = 8, 256, 4, 192
 #: Vectors and queries of one block.
 BLOCK, QUERIES = 2_048, 8_192
 #: Queries of the recall measurement, and the share of their true neighbours to reach.
@@ -110,7 +110,7 @@ class Index:
                 add = np.diag(self.products)[own][None, None, :] - 2 * dots[:, None, own]
                 grown = cost[:, :, None] + add
                 for before in range(book):
-                    grown = grown + 2 * self.products[kept[:, :, before]][:, :, own]
+                    grown = grown + 2 * self.products[:, own][kept[:, :, before]]
                 flat = grown.reshape(n, -1)
                 beam = min(BEAM, flat.shape[1])
                 best = np.argpartition(flat, beam - 1, axis=1)[:, :beam] if beam < flat.shape[1] else np.broadcast_to(np.arange(beam), (n, beam))
@@ -130,17 +130,21 @@ class Index:
         best ``rerank`` are compared exactly.
         """
         out_at, out_cos = [], []
+        single, scale = vectors.astype(np.float32), 1 / np.sqrt(np.maximum(norms, 1e-12))
+        words = codes.T.astype(np.int64)
         for low in range(0, len(queries), 512):
-            q = queries[low : low + 512]
-            tables = q.astype(np.float32) @ self.books.T
-            scores = np.repeat(-norms[None, :] / 2, len(q), axis=0)
-            for book in range(BOOKS):
-                scores += tables[:, codes[:, book]]
-            mine = own[low : low + 512]
+            q, mine = queries[low : low + 512], own[low : low + 512]
+            tables = np.ascontiguousarray(self.books @ q.astype(np.float32).T)  # (codewords, queries): rows are gathered
+            sums = tables[words[0]]
+            for book in words[1:]:
+                sums += tables[book]
+            scores = np.ascontiguousarray((sums * scale[:, None]).T)
             scores[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
-            many = min(max(rerank, k), scores.shape[1])
-            best = np.argpartition(-scores, many - 1, axis=1)[:, :many] if many < scores.shape[1] else np.broadcast_to(np.arange(many), scores.shape).copy()
-            cos = np.einsum("qrd,qd->qr", vectors[best], q)
+            best = _top(scores, max(rerank, 3 * k))
+            near = np.matmul(single[best], q.astype(np.float32)[:, :, None])[:, :, 0]
+            near[best == mine[:, None]] = -np.inf
+            best = np.take_along_axis(best, _top(near, 3 * k), 1)
+            cos = np.matmul(vectors[best], q[:, :, None])[:, :, 0]  # the last word is in double precision
             cos[best == mine[:, None]] = -np.inf
             order = np.argsort(-cos, axis=1, kind="stable")[:, :k]
             at, cos = np.take_along_axis(best, order, 1), np.take_along_axis(cos, order, 1)
@@ -150,6 +154,13 @@ class Index:
         return np.concatenate(out_at), np.concatenate(out_cos)
 
 
+def _top(scores: np.ndarray, many: int) -> np.ndarray:
+    """The positions of the ``many`` greatest of each row, in no order."""
+    if many >= scores.shape[1]:
+        return np.broadcast_to(np.arange(scores.shape[1]), scores.shape).copy()
+    return np.argpartition(-scores, many - 1, axis=1)[:, :many]
+
+
 # ---- Spark ----
 
 
