@@ -31,8 +31,8 @@ ERROR_BUDGET = 1
 ITEM_BYTES = 64_000_000
 
 #: Dropped before matching: soft hyphen, zero-width characters and joiners, byte order mark (fixed values).
-_DROP = dict.fromkeys(map(ord, "­​‌‍⁠﻿᠎"))
-_HAS_DROP = re.compile("[­​-‍⁠﻿᠎]")
+_DROP = dict.fromkeys(map(ord, "\u00ad\u200b\u200c\u200d\u2060\ufeff\u180e"))
+_HAS_DROP = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff\u180e]")
 _WORD = re.compile(r"[^\W_]+")
 
 

@@ -46,7 +46,7 @@ _PARTICLES = "とがはをのにでもやへってかな的"
 
 _THAI = "฀-๏๚-๿"
 _BLANK = r"[^\S\r\n]"
-_NL = r"(?:\r\n|\n|\r| | )"
+_NL = r"(?:\r\n|\n|\r|\u2028|\u2029)"
 _LIST = r"(?:[-*•+–‣◦▪●·○■]|\d{1,4}[.)．）])"
 _EVENT = re.compile(
     rf"(?P<brk>{_NL}(?:{_BLANK}*{_NL})+{_BLANK}*|{_NL}(?={_BLANK}*{_LIST}{_BLANK}))"
@@ -130,7 +130,7 @@ def _starts(text: str, at: int, size: int, after: str) -> bool:
         if c not in _LEAD:
             break
         at += 1
-        while at < size and text[at] in "   ":
+        while at < size and text[at] in " \u00a0\u2009\u202f":
             at += 1
     if at >= size:
         return True
@@ -163,7 +163,7 @@ def _point_ends(text: str, at: int, end: int, size: int) -> bool:
             if not following.isupper() or "/" in token or "_" in token or "@" in token:
                 return False
             after = text[end + 1] if end + 1 < size else " "
-            if not (after.islower() or after in "  " or after in "'’") or low in NEVER or len(token) == 1 or not (last.islower() or last.isdigit()):
+            if not (after.islower() or after in " \u00a0\u2009\u202f" or after in "'’") or low in NEVER or len(token) == 1 or not (last.islower() or last.isdigit()):
                 return False
             return True
         if low in MAY:
@@ -174,7 +174,7 @@ def _point_ends(text: str, at: int, end: int, size: int) -> bool:
             return False
         if token.isdigit():
             first = at - len(token)
-            before = text[max(0, first - 40) : first].rstrip("    \t")
+            before = text[max(0, first - 40) : first].rstrip(" \u00a0\u2009\u202f\t")
             if not before or before[-1] in "\r\n":
                 return False
             word = _LAST_WORD.search(text, max(0, first - 24), first)

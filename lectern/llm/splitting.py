@@ -41,7 +41,7 @@ RANKS = {name: at for at, (name, _) in enumerate(_CLASSES)} | {"script": 5, "har
 
 def _joined(before: str, after: str) -> bool:
     """Whether a cut between the two characters would part a character from its marks."""
-    return unicodedata.combining(after) != 0 or unicodedata.category(after) in ("Mn", "Mc", "Me") or after in "‍️" or before == "‍"
+    return unicodedata.combining(after) != 0 or unicodedata.category(after) in ("Mn", "Mc", "Me") or after in "\u200d\ufe0f" or before == "\u200d"
 
 
 def _letters(a: str, b: str) -> bool:
