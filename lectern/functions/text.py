@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed values.
 #: Every character that counts as a blank (Java's own class lacks most of them).
-BLANK = r"[\s\x1c-\x1f\x85   -     　]"
+BLANK = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 TOKEN = r"[a-z0-9]+(?:[./_-][a-z0-9]+)*"
 TECHNICAL = r"(?iU)\b(?:[a-z]*\d[\w./-]*|\d+(?:\.\d+)?)\b"
 UNITS = ("mm", "cm", "kg", "%", "mpa", "°c")
@@ -157,7 +157,7 @@ def bullet_text(line: Column | str) -> Column:
 
 def inferred_title(text: Column | str, fallback: Column) -> Column:
     """The first heading-like line, else ``fallback``."""
-    lines = F.filter(F.transform(F.split(_c(text), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"), normalised), lambda x: x.isNotNull())
+    lines = F.filter(F.transform(F.split(_c(text), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), normalised), lambda x: x.isNotNull())
     return F.coalesce(heading_text(F.get(F.filter(lines, is_heading), F.lit(0))), fallback)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from lectern.functions import text as T
 
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 # Node types by branch.
 SQL_TYPES = ("table", "table_header", "table_row", "table_cell", "embedded_dataset")
