@@ -45,29 +45,42 @@ def technical_difference(a: Column, b: Column) -> Column:
     return (F.size(a) > 0) & (F.size(b) > 0) & (F.size(F.array_except(a, b)) > 0) & (F.size(F.array_except(b, a)) > 0)
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once: inside a lambda a plain expression would run again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def coverage(primary: Column, other: Column) -> Column:
     """The share of ``other``'s tokens, as a multiset, that ``primary`` holds; 1 where ``other`` has none."""
-    shared = F.aggregate(
-        F.array_distinct(other),
-        F.lit(0),
-        lambda held, t: held + F.least(F.size(F.filter(primary, lambda x: x == t)), F.size(F.filter(other, lambda x: x == t))),
-    )
-    return F.when(F.size(other) == 0, F.lit(1.0)).otherwise(shared / F.size(other))
+
+    def shared(s: Column) -> Column:
+        times = lambda side, t: F.size(s[side]) - F.size(F.array_remove(s[side], t))
+        held = F.aggregate(F.array_intersect(s["a"], s["b"]), F.lit(0), lambda n, t: n + F.least(times("a", t), times("b", t)))
+        return F.when(F.size(s["b"]) == 0, F.lit(1.0)).otherwise(held / F.size(s["b"]))
+
+    return bound(F.struct(primary.alias("a"), other.alias("b")), shared)
 
 
 def compared(primary: Column | str, other: Column | str) -> Column:
     """The decision for ``other`` against ``primary``: empty, fallback_only, duplicate, conflict or near_duplicate."""
-    a, b = F.coalesce(normalised(primary), F.lit("")), F.coalesce(normalised(other), F.lit(""))
-    a_tokens, b_tokens = tokens(a), tokens(b)
-    share = coverage(a_tokens, b_tokens)
-    return (
-        F.when(b == "", "empty")
-        .when(a == "", "fallback_only")
-        .when(folded(a) == folded(b), "duplicate")
-        .when((F.size(b_tokens) >= 4) & (share >= 0.7) & technical_difference(technical_values(a), technical_values(b)), "conflict")
-        .when(F.contains(folded(a), folded(b)) | (share >= 0.9), "near_duplicate")
-        .otherwise("fallback_only")
-    )
+
+    def ladder(s: Column) -> Column:
+        return (
+            F.when(s["b"] == "", "empty")
+            .when(s["a"] == "", "fallback_only")
+            .when(s["low_a"] == s["low_b"], "duplicate")
+            .when((s["n"] >= 4) & (s["share"] >= 0.7) & technical_difference(s["values_a"], s["values_b"]), "conflict")
+            .when(F.contains(s["low_a"], s["low_b"]) | (s["share"] >= 0.9), "near_duplicate")
+            .otherwise("fallback_only")
+        )
+
+    def measured(s: Column) -> Column:
+        tokens_b = tokens(s["b"])
+        whole = F.struct(s["a"].alias("a"), s["b"].alias("b"), folded(s["a"]).alias("low_a"), folded(s["b"]).alias("low_b"), F.size(tokens_b).alias("n"), coverage(tokens(s["a"]), tokens_b).alias("share"), technical_values(s["a"]).alias("values_a"), technical_values(s["b"]).alias("values_b"))
+        return bound(whole, ladder)
+
+    plain = F.struct(F.coalesce(normalised(primary), F.lit("")).alias("a"), F.coalesce(normalised(other), F.lit("")).alias("b"))
+    return bound(plain, measured)
 
 
 def column_letters(n: Column) -> Column:
@@ -134,11 +147,14 @@ def is_formula_error(x: Column | str) -> Column:
 
 def is_heading(line: Column | str) -> Column:
     """At most 12 words, and a leading #, a final colon or mostly capitals."""
-    n = F.coalesce(normalised(line), F.lit(""))
-    words = F.regexp_replace(n, "^[# ]+", "")
-    many = F.when(words == "", 0).otherwise(F.size(F.split(words, " ")))
-    capitals = F.char_length(F.regexp_replace(n, r"[^\p{Lu}]", "")) / F.greatest(F.char_length(n), F.lit(1))
-    return many.between(1, 12) & (F.startswith(n, F.lit("#")) | F.endswith(n, F.lit(":")) | (capitals > 0.45))
+
+    def judged(n: Column) -> Column:
+        words = F.regexp_replace(n, "^[# ]+", "")
+        many = F.when(words == "", 0).otherwise(1 + F.char_length(words) - F.char_length(F.replace(words, F.lit(" "), F.lit(""))))
+        capitals = F.char_length(F.regexp_replace(n, r"[^\p{Lu}]", "")) / F.greatest(F.char_length(n), F.lit(1))
+        return many.between(1, 12) & (F.startswith(n, F.lit("#")) | F.endswith(n, F.lit(":")) | (capitals > 0.45))
+
+    return bound(F.coalesce(normalised(line), F.lit("")), judged)
 
 
 def heading_text(line: Column | str) -> Column:

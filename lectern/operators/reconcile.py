@@ -111,9 +111,10 @@ def words_in_box(words: DataFrame, boxes: DataFrame, keys: list[str], tolerance:
 
 
 def contains_sequence(tokens: Column, wanted: Column) -> Column:
-    """Whether ``wanted`` stands as a run in ``tokens``; an empty ``wanted`` doesn't."""
-    n = F.size(wanted)
-    return (n > 0) & (F.size(tokens) >= n) & F.exists(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(tokens) - n + 1)), lambda i: F.slice(tokens, i, n) == wanted)
+    """Whether ``wanted`` stands as a run in ``tokens``; an empty ``wanted`` doesn't. Tokens hold no blanks, so the joined
+    texts tell."""
+    edge = lambda x: F.concat(F.lit(" "), F.array_join(x, " "), F.lit(" "))
+    return (F.size(wanted) > 0) & F.contains(edge(tokens), edge(wanted))
 
 
 def winner(region: Column, a: Column, b: Column) -> Column:

@@ -55,9 +55,12 @@ def publish(rows: DataFrame, stored: DataFrame | None, keys: list[str], content:
     return joined.where(checked).drop("_stored")
 
 
-def verified(artifacts: DataFrame, content: str, stored_hash: str = "artifact_hash") -> DataFrame:
-    """Adds is_intact: whether the content has its stored hash, with or without the 'sha256:' in front."""
-    return artifacts.withColumn("is_intact", F.coalesce(F.sha2(F.col(content), 256) == F.regexp_replace(F.col(stored_hash), "^sha256:", ""), F.lit(False)))
+def verified(artifacts: DataFrame, content: str, stored_hash: str = "artifact_hash", least: int = 32) -> DataFrame:
+    """Adds is_intact: whether the content has its stored SHA-256, with or without 'sha256:' in front; a shortened hash
+    counts if it has at least ``least`` digits. Null content or hash isn't intact."""
+    stored = F.lower(F.regexp_replace(F.col(stored_hash), "^sha256:", ""))
+    same = F.startswith(F.sha2(F.col(content), 256), stored) & (F.char_length(stored) >= least)
+    return artifacts.withColumn("is_intact", F.coalesce(same, F.lit(False)))
 
 
 def relative_path(path, root: str):

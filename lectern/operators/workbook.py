@@ -123,4 +123,4 @@ def notes(cells: DataFrame) -> DataFrame:
     joined = placed.groupBy("sheet_id", "region_no", "row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col", "value"))), lambda x: x["value"]), " ").alias("note"))
     told = joined.join(kinds, ["sheet_id", "region_no"]).join(heads, ["sheet_id", "region_no"], "left")
     start = F.when(F.col("classification") == "DOCUMENT_LIKE", F.lit(0)).otherwise(F.coalesce(F.col("header_row") + 1, F.lit(0)))
-    return told.where((F.col("classification") != "STRUCTURED") & (F.col("row") >= start) & ~(F.col("note") <=> F.col("title"))).select("sheet_id", "row", "note")
+    return told.where((F.col("classification") != "STRUCTURED") & (F.col("row") >= start) & ~F.col("note").eqNullSafe(F.col("title"))).select("sheet_id", "row", "note")
