@@ -83,11 +83,12 @@ def merge_page_text(blocks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def compare_cells(primary: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
-    """Tables as cells (keys, row, col, text): (keys, decision, conflicts). Cells with blank text don't count.
+    """Tables as cells (keys, row, col, text): (keys, decision, conflicts). Cells with blank text don't count; of cells
+    that share a coordinate the greatest text does.
 
     conflict: a shared coordinate differs; duplicate: all cells agree both ways; else fallback_only.
     """
-    clean = lambda df, name: df.select(*keys, "row", "col", T.normalised("text").alias(name)).where(F.col(name).isNotNull())
+    clean = lambda df, name: df.select(*keys, "row", "col", T.normalised("text").alias("_t")).where(F.col("_t").isNotNull()).groupBy(*keys, "row", "col").agg(F.max("_t").alias(name))
     joined = clean(primary, "a").join(clean(other, "b"), [*keys, "row", "col"], "full_outer")
     both = F.col("a").isNotNull() & F.col("b").isNotNull()
     counted = joined.groupBy(*keys).agg(F.count("a").alias("na"), F.count("b").alias("nb"), F.count_if(both & (F.col("a") != F.col("b"))).alias("conflicts"), F.count_if(both & (F.col("a") == F.col("b"))).alias("same"))
