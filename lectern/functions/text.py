@@ -145,8 +145,8 @@ def is_formula_error(x: Column | str) -> Column:
     return F.coalesce(_c(x).isin(*FORMULA_ERRORS), F.lit(False))
 
 
-def is_heading(line: Column | str) -> Column:
-    """At most 12 words, and a leading #, a final colon or mostly capitals."""
+def is_heading(line: Column | str, plain: bool = False) -> Column:
+    """At most 12 words, and a leading #, a final colon or mostly capitals. ``plain``: the line is normalised already."""
 
     def judged(n: Column) -> Column:
         words = F.regexp_replace(n, "^[# ]+", "")
@@ -154,6 +154,8 @@ def is_heading(line: Column | str) -> Column:
         capitals = F.char_length(F.regexp_replace(n, r"[^\p{Lu}]", "")) / F.greatest(F.char_length(n), F.lit(1))
         return many.between(1, 12) & (F.startswith(n, F.lit("#")) | F.endswith(n, F.lit(":")) | (capitals > 0.45))
 
+    if plain:
+        return F.coalesce(judged(_c(line)), F.lit(False))
     return bound(F.coalesce(normalised(line), F.lit("")), judged)
 
 
@@ -161,8 +163,9 @@ def heading_text(line: Column | str) -> Column:
     return F.coalesce(normalised(F.regexp_replace(_c(line), "^[# ]+", "")), _c(line))
 
 
-def is_bullet(line: Column | str) -> Column:
-    return F.coalesce(normalised(line).rlike("^(?:[-*>]|o )"), F.lit(False))
+def is_bullet(line: Column | str, plain: bool = False) -> Column:
+    n = _c(line) if plain else normalised(line)
+    return F.coalesce(F.substring(n, 1, 1).isin("-", "*", ">") | (F.substring(n, 1, 2) == "o "), F.lit(False))
 
 
 def bullet_text(line: Column | str) -> Column:
@@ -174,7 +177,7 @@ def bullet_text(line: Column | str) -> Column:
 def inferred_title(text: Column | str, fallback: Column) -> Column:
     """The first heading-like line, else ``fallback``."""
     lines = F.filter(F.transform(F.split(_c(text), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), normalised), lambda x: x.isNotNull())
-    return F.coalesce(heading_text(F.get(F.filter(lines, is_heading), F.lit(0))), fallback)
+    return F.coalesce(heading_text(F.get(F.filter(lines, lambda x: is_heading(x, True)), F.lit(0))), fallback)
 
 
 def context_prefix(title: Column, labels: Column) -> Column:

@@ -25,12 +25,13 @@ def lines(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, line_no, line): the non-blank lines, stripped of outer blanks, numbered from 0 over all lines."""
     split = df.select(F.col(key), F.posexplode(F.split(F.col(text), LINE_END)).alias("line_no", "line"))
     strip = F.regexp_replace("line", f"^{T.BLANK}+|{T.BLANK}+$", "")
-    return split.where(T.normalised("line").isNotNull()).select(key, "line_no", strip.alias("line"))
+    return split.select(key, "line_no", strip.alias("line")).where("line <> ''")
 
 
 def lines_to_nodes(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, node_no, node_type, text): headings and bullets are nodes of their own, lines between them one paragraph."""
-    typed = lines(df, key, text).withColumn("kind", F.when(T.is_heading("line"), "title_block").when(T.is_bullet("line"), "bullet_block").otherwise("paragraph"))
+    plain = lines(df, key, text).withColumn("n", T.normalised("line"))
+    typed = plain.select(key, "line_no", "line", F.when(T.is_heading("n", True), "title_block").when(T.is_bullet("n", True), "bullet_block").otherwise("paragraph").alias("kind"))
     order = Window.partitionBy(key).orderBy("line_no")
     starts = (F.col("kind") != "paragraph") | (F.coalesce(F.lag("kind").over(order), F.lit("")) != "paragraph")
     grouped = typed.withColumn("group_no", F.sum(starts.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))

@@ -33,17 +33,17 @@ def active_groups(users: DataFrame, memberships: DataFrame, groups: DataFrame) -
 def bm25(documents: DataFrame, key: str, text: str, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, key, score, rank): the k best documents of each query (query_id, query_text), ties by key.
 
-    Two aggregations (term and document statistics) over the whole table and one equi join on the token; only postings of
-    query terms go on. The query side is broadcast if small. Scores are rounded to 9 places before ranking.
+    One pass gives the number and mean length of documents, one the postings; only those of query terms are shuffled, and
+    carry their document's length. The query side is broadcast if small; the statistics
+    joined in are one row. Scores are rounded to 6 places before ranking.
     """
-    # Statistics and postings read the same token counts; statistics are two numbers and one row per query term.
-    counts = documents.select(F.col(key), F.explode(T.tokens(text)).alias("token")).groupBy(key, "token").agg(F.count("*").alias("tf"))
-    lengths = documents.select(F.col(key), F.size(T.tokens(text)).alias("dl")).where("dl > 0")
-    totals = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
     terms = broadcast_checked(queries.select("query_id", F.explode(F.array_distinct(T.tokens("query_text"))).alias("token")))
-    postings = counts.join(terms, "token")
-    df = broadcast_checked(counts.join(terms.select("token").distinct(), "token").groupBy("token").agg(F.count("*").alias("df")))
-    scored = postings.join(df, "token").join(lengths, key).crossJoin(F.broadcast(totals))
+    split = documents.select(F.col(key), T.tokens(text).alias("ts"))
+    totals = split.select(F.size("ts").alias("dl")).where("dl > 0").agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
+    wanted = terms.select("token").distinct()
+    counts = split.select(key, F.size("ts").alias("dl"), F.explode("ts").alias("token")).join(wanted, "token", "left_semi").groupBy(key, "token").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
+    df = counts.groupBy("token").agg(F.count("*").alias("df"))
+    scored = counts.join(df, "token").join(terms, "token").crossJoin(F.broadcast(totals))
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / F.col("avgdl")))
     summed = scored.groupBy("query_id", key).agg(F.round(F.sum(idf * weight), 6).alias("score"))
