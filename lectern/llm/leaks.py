@@ -2,14 +2,11 @@
 
 A passage is a window of ``window`` consecutive units of an item (words, or single letters for scripts without blanks); an
 item shorter than that is one passage as a whole. With an error budget of b edits, a passage is split into b + 1 pieces:
-at most b of them can be hit by b edits, so a leaked passage contains at least one piece unchanged. Items are cut into
-aligned pieces of window / (b + 1) units, at every phase that the guarantee needs; exact piece hits come from a hash
-table of the items' pieces (the fixed evaluation set, whose size is checked before it is sent to the workers), and each
+at most b of them can be hit by b edits, so a leaked passage contains at least one piece unchanged. A passage may begin at
+any unit of its item, so the pieces of window / (b + 1) units are indexed at every offset; exact piece hits come from a
+hash table of the items' pieces (the fixed evaluation set, whose size is checked before it is sent to the workers), and each
 hit is verified with Myers' bit-parallel distance, run over units instead of characters, between the item around the
 piece and the document around the hit. The corpus is read once and never shuffled; only matches are.
-
-For b = 0 errors wanted, one piece per half window still catches every exact window: any ``window`` consecutive units
-hold a whole aligned piece of (window + 1) // 2 units.
 """
 
 from __future__ import annotations
@@ -99,7 +96,7 @@ class Items:
     sizes: set[int] = field(default_factory=set)
 
     def piece_size(self, n: int) -> int:
-        """Units of a piece. Aligned pieces of this size: every window (or the whole short item) split by the budget."""
+        """Units of a piece: a window (or the whole short item) holds budget + 1 of them side by side."""
         span = min(n, self.window)
         return max(1, span // (self.budget + 1))
 
@@ -110,8 +107,7 @@ class Items:
         self.ids.append(item_id)
         self.texts.append(text)
         self.sizes.add(size)
-        last = len(text) - size
-        for at in {*range(0, last + 1, size), last}:
+        for at in range(len(text) - size + 1):  # a window may begin anywhere, so pieces stand at every offset
             self.by_piece.setdefault(tuple(text[at : at + size]), []).append((own, at))
 
     def passages_around(self, own: int, at: int) -> tuple[int, int]:
@@ -221,6 +217,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, budget: int = ERROR_BUDGE
     """(item_id, doc_id, errors, run_units, need_units): every document that holds a passage of an item within ``budget``
     edits. ``errors`` are those of its best passage, ``run_units`` the most units in a row that agree exactly.
 
+    An item of no more units than the budget matches only where it stands whole: the edits would leave nothing of it.
     Null texts and ids match nothing; a repeated item or document counts once. The items' size is checked on the driver:
     beyond ``ITEM_BYTES`` the call is refused, as an evaluation set is small by nature; split it and union the results.
     """

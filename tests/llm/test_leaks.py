@@ -60,3 +60,41 @@ def test_one_edit_is_found_with_the_budget(spark):
     docs = spark.createDataFrame([(1, "Note: " + item.replace("torque", "pressure")), (2, "Note: " + item), (3, "nothing of it")], "doc_id bigint, text string")
     found = {r.doc_id: r for r in leaks.find_leaks(docs, spark.createDataFrame([(7, "en", item)], "item_id bigint, lang string, text string")).collect()}
     assert set(found) == {1, 2} and found[2].errors == 0 and found[1].errors == 1 and found[1].run_units < 12
+
+
+def least_errors(item, doc, n):
+    best = n
+    for low in range(len(item) - n + 1):
+        row = list(range(n + 1))
+        for unit in doc:
+            new = [0]
+            for at, p in enumerate(item[low : low + n], 1):
+                new.append(min(row[at] + 1, new[at - 1] + 1, row[at - 1] + (p != unit)))
+            row = new
+            best = min(best, row[-1])
+    return best
+
+
+def test_one_edit_is_found_at_every_phase():
+    rng = random.Random(5)
+    for lang, n, length in (("en", 12, 48), ("en", 12, 11), ("en", 12, 2), ("zh", 20, 45), ("ja", 20, 19)):
+        letters = lang != "en"
+        item = [chr(0x4E00 + i) if letters else f"w{i}" for i in range(length)]
+        glue = "" if letters else " "
+        matcher = leaks.Matcher(leaks.build_items([(7, lang, glue.join(item))]))
+        need = min(n, length)
+        for low in range(length - need + 1):
+            for at in range(need):
+                for edit in ("change", "drop", "add"):
+                    part = item[low : low + need]
+                    part[at : at + 1] = {"change": ["X"], "drop": [], "add": [part[at], "X"]}[edit]
+                    doc = ["Q"] * 3 + part + ["Q"] * 3
+                    wanted = least_errors(item, doc, need)
+                    assert wanted <= 1 and matcher.matches(glue.join(doc))[7][0] == wanted
+        for _ in range(200):  # two edits, often too many
+            low = rng.randrange(length - need + 1)
+            part = item[low : low + need]
+            part[rng.randrange(need)], part[rng.randrange(need)] = "X", "Y"
+            doc = ["Q"] * 3 + part + ["Q"] * 3
+            wanted, found = least_errors(item, doc, need), matcher.matches(glue.join(doc))
+            assert (found[7][0] == wanted) if wanted <= 1 else not found
