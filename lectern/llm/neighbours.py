@@ -4,10 +4,13 @@ Vectors of one model and width form a collection. A bounded sample of it trains
 number of cells follows the collection's size) and ``BOOKS`` full-dimensional codebooks, each fitted to the residuals of the
 sum so far. Every vector is then encoded by beam search, as the sum of one codeword per book, and its code and the norm of
 that sum are stored. A query looks into its nearest cells: lookup tables of its products with all codewords score the
-cell's codes (sum of table entries over the stored norm), the best are reranked with exact cosines.
+cell's codes (sum of table entries over the stored norm), the best are reranked with exact cosines. The preselection loses
+nothing: a cosine is at most the sum of table entries plus the length of what the code leaves over, and where a vector that
+wasn't reranked may by that bound still belong to the result, the query is compared with its whole block.
 
 How many cells a query looks into is measured, not assumed: a bounded sample of queries is compared with every vector, and
-the least number of cells that reaches ``AIM`` of their true neighbours is taken. A cell that holds very many vectors or
+the least number of cells that reaches ``AIM`` of their true neighbours is taken. As a block gives its true best, that share
+is the recall of the whole search on the sample. A cell that holds very many vectors or
 queries is split into blocks of bounded size, every block of its vectors meeting every block of its queries.
 """
 
@@ -30,6 +33,8 @@ SAMPLE, SAMPLE_VALUES = 16_384, 16_777_216
 CELL, MAX_CELLS = 1_024, 65_536
 #: Codebooks, codewords of each, width of the beam, candidates of a block that are reranked.
 BOOKS, WORDS, BEAM, RERANK = 8, 256, 4, 192
+#: More than single precision can err by in a product of unit vectors or in the length of a difference.
+ROUNDING = 1e-4
 #: Vectors and queries of one block.
 BLOCK, QUERIES = 2_048, 8_192
 #: Queries of the recall measurement, and the share of their true neighbours to reach.
@@ -123,15 +128,22 @@ class Index:
             norms.append(cost[rows, winner] + 2 * np.take_along_axis(dots, kept[rows, winner], 1).sum(1))
         return np.concatenate(codes).astype(np.uint16), np.concatenate(norms).astype(np.float32)
 
-    def search(self, queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, codes: np.ndarray, norms: np.ndarray, k: int, rerank: int = RERANK) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, codes: np.ndarray, norms: np.ndarray, k: int, rerank: int = RERANK, least: float = -2.0) -> tuple[np.ndarray, np.ndarray]:
         """(positions, cosines), each (queries, up to k), of the best vectors of a block; -1 where there are fewer.
 
         ``own`` is the position of the query itself among the vectors, or -1. Scores come from the lookup tables, the
-        best ``rerank`` are compared exactly.
+        best ``rerank`` are compared exactly. By Cauchy and Schwarz <q, x> <= <q, sum> + |x - sum|: a query for which that
+        bound doesn't part the rest from its k-th best so far (or from ``least``) is compared with the whole block.
         """
         out_at, out_cos = [], []
         single, scale = vectors.astype(np.float32), 1 / np.sqrt(np.maximum(norms, 1e-12))
         words = codes.T.astype(np.int64)
+        many = max(rerank, 3 * k)
+        if many < len(vectors):
+            rest = single.copy()
+            for book in words:
+                rest -= self.books[book]
+            rest = np.linalg.norm(rest, axis=1) + ROUNDING
         for low in range(0, len(queries), 512):
             q, mine = queries[low : low + 512], own[low : low + 512]
             tables = np.ascontiguousarray(self.books @ q.astype(np.float32).T)  # (codewords, queries): rows are gathered
@@ -140,10 +152,21 @@ class Index:
                 sums += tables[book]
             scores = np.ascontiguousarray((sums * scale[:, None]).T)
             scores[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
-            best = _top(scores, max(rerank, 3 * k))
+            best = _top(scores, many)
             near = np.matmul(single[best], q.astype(np.float32)[:, :, None])[:, :, 0]
             near[best == mine[:, None]] = -np.inf
+            if many < len(vectors):
+                floor = np.maximum(-np.partition(-near, k - 1, axis=1)[:, k - 1], least) - ROUNDING
+                bound = np.ascontiguousarray((sums + rest[:, None]).T)
+                np.put_along_axis(bound, best, -np.inf, 1)
+                bound[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
+                unsure = np.flatnonzero(bound.max(axis=1) >= floor)
             best = np.take_along_axis(best, _top(near, 3 * k), 1)
+            if many < len(vectors) and len(unsure):
+                whole = q[unsure].astype(np.float32) @ single.T
+                held = mine[unsure] >= 0
+                whole[np.flatnonzero(held), mine[unsure][held]] = -np.inf
+                best[unsure] = _top(whole, 3 * k)
             cos = np.matmul(vectors[best], q[:, :, None])[:, :, 0]  # the last word is in double precision
             cos[best == mine[:, None]] = -np.inf
             order = np.argsort(-cos, axis=1, kind="stable")[:, :k]
@@ -329,7 +352,7 @@ def neighbours(embedded: DataFrame, k: int = K, least: float = -2.0) -> DataFram
                     continue
                 where = {name: at for at, name in enumerate(held[1])}
                 own = np.array([where.get(name, -1) for name in ids])
-                at, cos = indexes[no].search(x, own, held[2], held[3], held[4], k)
+                at, cos = indexes[no].search(x, own, held[2], held[3], held[4], k, least=least)
                 rows, columns = np.nonzero((at >= 0) & (cos >= least))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), no, np.int32)), pa.array([ids[i] for i in rows], pa.string()), pa.array([held[1][i] for i in at[rows, columns]], pa.string()), pa.array(cos[rows, columns])], names=names)
 

@@ -52,3 +52,23 @@ def test_beam_beats_greedy_and_norms_are_stored():
         book = index.books[b * index.words : (b + 1) * index.words]
         greedy = greedy + book[(((held_out - greedy)[:, None] - book[None]) ** 2).sum(2).argmin(1)]
     assert ((sums - held_out) ** 2).sum() < 0.9 * ((greedy - held_out) ** 2).sum()
+
+
+def test_a_block_gives_its_true_best_in_a_hot_group():
+    rng = np.random.default_rng(8)
+    group = rng.normal(size=64) + rng.normal(size=(2000, 64)) * 0.02
+    x = neighbours.unit(np.concatenate([group, rng.normal(size=(4000, 64))]).astype(np.float32))
+    index = neighbours.Index.train(x, 6)
+    for block in (x[:2000], x[1000:3000]):
+        codes, norms = index.encode(block)
+        own = np.arange(len(block))
+        own[::7] = -1  # queries of another block
+        cos = block @ block.T
+        held = np.flatnonzero(own >= 0)
+        cos[held, own[held]] = -np.inf
+        best = -np.sort(-cos, axis=1)[:, :10]
+        for least in (-2.0, 0.9):
+            at, found = index.search(block, own, block, codes, norms, 10, least=least)
+            assert (at[held] != own[held, None]).all()
+            wanted = best >= least
+            assert np.allclose(found[wanted], best[wanted], atol=1e-9) and (found[~wanted] < least).all()
