@@ -1,31 +1,31 @@
 """Splitting of oversized texts at natural boundaries, by ranges.
 
-A text is never handled as a whole. It is cut into ranges; each range, read with a halo on both sides, finds the cuts of
-the windows that begin in it. The boundary tables of a text's ranges are stitched by a window function, which gives each
-piece its offsets; the pieces are then emitted range by range, from the text of one range and its halo. Texts of any
-length spread over as many tasks as they have ranges, and a hot document only has more ranges.
-
-The grid. With limit L and overlap O, let stride S = (L - O) * 3 // 4 and slack = L - O - S. Cut k (k >= 1) is the best
-boundary in (k*S - slack/2, k*S + slack/2], so consecutive cuts are at most S + slack = L - O apart, and a piece that
-starts up to O characters before its cut is at most L long. A cut depends on its window alone, not on the cuts before it:
-that is what lets ranges work apart. Boundaries rank: blank line, line end, sentence end, clause end, space, script change
-(where a text without blanks allows a break), and only then any character that doesn't part a character from its marks.
+A text is never handled as a whole. It is cut into ranges; each range, read with a halo on both sides, finds the boundaries
+that lie in it. The boundary tables of a text's ranges are stitched in order, which chooses the cuts and gives each piece its
+offsets; the pieces are then emitted range by range, from the text of one range and its halo. Texts of any length spread over
+as many tasks as they have ranges; what one task goes through in order is the boundary table alone, range after range.
+
+The cuts. A piece starts up to the overlap before its cut and may be as long as the limit; the next cut is the best boundary
+between its own cut and that end, of the best class the last one. Boundaries rank: blank line, line end, sentence end, clause
+end, space, script change (where a text without blanks allows a break), and only then any character that doesn't part a
+character from its marks. :func:`best_cut` is that choice on a text at hand. A boundary that has a better one less than
+limit - overlap before the next that is at least as good can never be chosen, and is left out of the tables.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: Policy of rows without one, and the kind of chunk that has a limit of its own (fixed values).
 DEFAULT_POLICY, TABLE_ROW = "canonical-chunks-v2", "table_row"
-#: Characters of a range, rounded down to whole windows; at least one window.
+#: Characters of a range.
 RANGE_CHARS = 32_768
 
 #: Boundary classes, best first. A cut falls at the end of the match.
@@ -105,54 +105,124 @@ def oversized(chunks: DataFrame, policies: DataFrame, key: str = "chunk_id", tex
     return joined.where((F.col("limit_chars") > 0) & (F.col("n_chars") > F.col("limit_chars"))).select(key, text, "n_chars", "limit_chars", F.coalesce("_overlap", F.lit(0)).alias("overlap_chars"))
 
 
+def boundaries(body: str, first: int, last: int, room: int) -> list[tuple[int, int]]:
+    """(position, rank) of the boundaries in (first, last] of ``body`` that a cut may fall on, in order.
+
+    Beyond either end of ``body`` there may be any boundary or none, so what depends on that is kept.
+    """
+    ranks: dict[int, int] = {}
+    for rank, (_, pattern) in enumerate(_CLASSES):
+        for met in pattern.finditer(body):
+            if 0 < met.end() < len(body):
+                ranks.setdefault(met.end(), rank)
+    for rank in (RANKS["script"], RANKS["hard"]):  # only where a whole span may hold no better boundary
+        places = sorted(ranks)
+        for low, high in zip([-1 - room, *places], [*places, len(body) + room]):
+            if high - low > room:
+                for at in range(max(low, first) + 1, min(high, last + 1, len(body))):
+                    if at > 0 and not _joined(body[at - 1], body[at]) and (rank == RANKS["hard"] or not _letters(body[at - 1], body[at])):
+                        ranks[at] = rank
+    places = sorted(ranks)
+    nexts, stack = [len(body) + 2 * room] * len(places), []  # of each boundary the next one that is at least as good
+    for no, at in enumerate(places):
+        while stack and ranks[at] <= ranks[places[stack[-1]]]:
+            nexts[stack.pop()] = at
+        stack.append(no)
+    found, stack = [], []
+    for no, at in enumerate(places):
+        while stack and ranks[stack[-1]] >= ranks[at]:
+            stack.pop()
+        better = stack[-1] if stack else -1 - room
+        stack.append(at)
+        if first < at <= last and nexts[no] - better > room:
+            found.append((at, ranks[at]))
+    return found
+
+
 def ranges(texts: DataFrame, key: str = "chunk_id", text: str = "content_text", range_chars: int = RANGE_CHARS) -> DataFrame:
-    """(key, range_no, limit_chars, overlap_chars, n_chars, first, last, start, body): each range with a halo of one limit before
-    and after it. ``first``..``last`` are the cuts whose windows belong to the range; ``start`` is the offset of ``body``."""
-    stride = F.greatest(F.lit(1), F.floor((F.col("limit_chars") - F.least("overlap_chars", F.floor(F.col("limit_chars") / 2))) * 3 / 4)).cast("int")
-    many = F.greatest(F.lit(1), F.floor(F.lit(range_chars) / F.col("_stride"))).cast("int")
-    cuts = F.greatest(F.lit(0), F.ceil(F.col("n_chars") / F.col("_stride")) - 1).cast("int")
-    split = texts.withColumn("_stride", stride).withColumn("_many", many).withColumn("_cuts", cuts)
-    split = split.withColumn("_no", F.explode(F.sequence(F.lit(0), F.floor(F.greatest(F.lit(0), F.col("_cuts") - 1) / F.col("_many")).cast("int"))))
-    split = split.withColumn("first", F.col("_no") * F.col("_many") + 1).withColumn("last", F.least(F.col("_cuts"), (F.col("_no") + 1) * F.col("_many")))
-    split = split.withColumn("start", F.greatest(F.lit(0), F.col("first") * F.col("_stride") - 2 * F.col("limit_chars")).cast("int"))
-    end = F.least(F.col("n_chars"), F.col("last") * F.col("_stride") + 2 * F.col("limit_chars"))
+    """(key, range_no, limit_chars, overlap_chars, n_chars, first, last, start, body): each range with a halo of two limits before
+    and after it. The boundaries in (``first``, ``last``] belong to the range; ``start`` is the offset of ``body``."""
+    split = texts.withColumn("_no", F.explode(F.sequence(F.lit(0), F.floor((F.col("n_chars") - 1) / range_chars).cast("int"))))
+    split = split.withColumn("first", F.col("_no") * range_chars).withColumn("last", F.least("n_chars", (F.col("_no") + 1) * range_chars))
+    split = split.withColumn("start", F.greatest(F.lit(0), F.col("first") - 2 * F.col("limit_chars")).cast("int"))
+    end = F.least(F.col("n_chars"), F.col("last") + 2 * F.col("limit_chars"))
     return split.select(key, F.col("_no").alias("range_no"), "limit_chars", "overlap_chars", "n_chars", "first", "last", "start", F.substring(F.col(text), F.col("start") + 1, (end - F.col("start")).cast("int")).alias("body"))
 
 
+_TABLE = (("key", "string", pa.string()), ("range_no", "int", pa.int32()), ("limit_chars", "int", pa.int32()), ("n_chars", "bigint", pa.int64()), ("last", "bigint", pa.int64()), ("cuts", "array<bigint>", pa.list_(pa.int64())), ("starts", "array<bigint>", pa.list_(pa.int64())), ("ranks", "array<int>", pa.list_(pa.int32())))
+
+
 def find_cuts(ranged: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """The boundary table: (key, range_no, k, cut, piece_start, kind, n_chars), of every window of every range."""
+    """The boundary tables: (key, range_no, limit_chars, n_chars, last, cuts, starts, ranks), one row per range: where cuts may
+    fall, where the piece after each would start, and the rank of each."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, nos, ks, cuts, starts, kinds, sizes = [], [], [], [], [], [], []
+            rows = []
             for own, no, limit, overlap, size, first, last, start, body in zip(*(c.to_pylist() for c in batch.columns)):
                 overlap, stride, slack = grid(limit, overlap)
-                for k in range(first, last + 1):
-                    low, high = k * stride - slack // 2 - 1, min(size - 1, k * stride + slack - slack // 2)
-                    cut, kind = best_cut(body, low - start, high - start, k * stride - start)
-                    keys.append(own)
-                    nos.append(no)
-                    ks.append(k)
-                    cuts.append(cut + start)
-                    starts.append(overlap_start(body, cut, overlap) + start)
-                    kinds.append(kind)
-                    sizes.append(size)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(nos, pa.int32()), pa.array(ks, pa.int32()), pa.array(cuts, pa.int64()), pa.array(starts, pa.int64()), pa.array(kinds, pa.string()), pa.array(sizes, pa.int64())], names=["key", "range_no", "k", "cut", "piece_start", "kind", "n_chars"])
+                found = boundaries(body, first - start, last - start, stride + slack)
+                rows.append((own, no, limit, size, last, [at + start for at, _ in found], [overlap_start(body, at, overlap) + start for at, _ in found], [rank for _, rank in found]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[at] for r in rows], kind) for at, (_, _, kind) in enumerate(_TABLE)], names=[name for name, _, _ in _TABLE])
+
+    return ranged.withColumn(key, F.col(key).cast("string")).mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind, _ in _TABLE))
+
 
-    return ranged.withColumn(key, F.col(key).cast("string")).mapInArrow(run, "key string, range_no int, k int, cut bigint, piece_start bigint, kind string, n_chars bigint")
+class Chain:
+    """The pieces of one text, from its boundary tables in order; holds the boundaries of about one span at a time."""
+
+    def __init__(self, limit: int, size: int):
+        self.limit, self.size = limit, size
+        self.cut = self.start = self.number = 0
+        self.places: list[int] = []
+        self.starts: list[int] = []
+        self.ranks: list[int] = []
+
+    def feed(self, cuts: list[int], starts: list[int], ranks: list[int], known: int) -> Iterator[tuple[int, int, int, int, str]]:
+        """(piece_no, start_char, end_char, overlap_chars, cut_kind) of the pieces that boundaries up to ``known`` settle."""
+        self.places += cuts
+        self.starts += starts
+        self.ranks += ranks
+        done = 0
+        while self.size - self.start > self.limit and self.start + self.limit <= known:
+            high = self.start + self.limit
+            low, end = bisect_right(self.places, self.cut, done), bisect_right(self.places, high, done)
+            best = min(range(low, end), key=lambda at: (self.ranks[at], -at), default=None)
+            cut, start, kind = (high, high, "hard") if best is None else (self.places[best], self.starts[best], _KINDS[self.ranks[best]])
+            yield self.number, self.start, cut, self.cut - self.start, kind
+            self.number, self.cut, self.start, done = self.number + 1, cut, start, low
+        del self.places[:done], self.starts[:done], self.ranks[:done]
+        if known == self.size:
+            yield self.number, self.start, self.size, self.cut - self.start, "end"
+
+
+_KINDS = {rank: name for name, rank in RANKS.items()}
+_PIECE = (("key", "string", pa.string()), ("piece_no", "int", pa.int32()), ("start_char", "bigint", pa.int64()), ("end_char", "bigint", pa.int64()), ("overlap_chars", "bigint", pa.int64()), ("cut_kind", "string", pa.string()))
 
 
 def stitch(cuts: DataFrame) -> DataFrame:
-    """Piece offsets from the boundary tables of all ranges: (key, range_no, piece_no, start_char, end_char, overlap_chars, cut_kind).
+    """Piece offsets from the boundary tables of all ranges: (key, piece_no, start_char, end_char, overlap_chars, cut_kind).
 
-    Piece 0 starts at 0; piece n starts up to the overlap before cut n and ends at cut n + 1, the last one at the end.
+    Piece 0 starts at 0; piece n starts up to the overlap before cut n and ends at cut n + 1, the last one at the end. The
+    ranges of a text come in order to one task, which passes through them once; a repeated range counts once.
     """
-    cuts = cuts.dropDuplicates(["key", "k"])
-    w = Window.partitionBy("key").orderBy("k")
-    numbered = cuts.withColumn("piece_no", F.row_number().over(w)).withColumn("end_char", F.coalesce(F.lead("cut").over(w), "n_chars")).withColumn("cut_kind", F.coalesce(F.lead("kind").over(w), F.lit("end")))
-    later = F.struct("piece_no", F.col("piece_start").alias("start_char"), "end_char", (F.col("cut") - F.col("piece_start")).alias("overlap_chars"), "cut_kind")
-    zero = F.struct(F.lit(0).alias("piece_no"), F.lit(0).cast("bigint").alias("start_char"), F.col("cut").alias("end_char"), F.lit(0).cast("bigint").alias("overlap_chars"), F.col("kind").alias("cut_kind"))
-    return numbered.select("key", "range_no", F.inline(F.when(F.col("piece_no") == 1, F.array(zero, later)).otherwise(F.array(later))))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen, chain = None, -1, None
+        for batch in batches:
+            rows = []
+            for key, no, limit, size, last, places, starts, ranks in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != own:
+                    own, seen, chain = key, -1, Chain(limit, size)
+                if no == seen:
+                    continue
+                seen = no
+                rows += [(key, *piece) for piece in chain.feed(places, starts, ranks, last)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r[at] for r in rows], kind) for at, (_, _, kind) in enumerate(_PIECE)], names=[name for name, _, _ in _PIECE])
+
+    parts = int(cuts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cuts.repartition(parts, "key").sortWithinPartitions("key", "range_no").mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind, _ in _PIECE))
 
 
 def pieces(texts: DataFrame, key: str = "chunk_id", text: str = "content_text", range_chars: int = RANGE_CHARS) -> DataFrame:
@@ -160,10 +230,10 @@ def pieces(texts: DataFrame, key: str = "chunk_id", text: str = "content_text",
     (key, piece_no, start_char, end_char, overlap_chars, cut_kind, piece_text).
 
     Each piece is at most ``limit_chars`` long; the pieces cover the text without gaps; consecutive ones share at most
-    ``overlap_chars``. A repeated delivery counts once. Each piece is cut out of the one range its end window lies in.
+    ``overlap_chars``. A repeated delivery counts once. Each piece is cut out of the one range it ends in.
     """
     ranged = ranges(texts, key, text, range_chars)
-    offsets = stitch(find_cuts(ranged, key))
+    offsets = stitch(find_cuts(ranged, key)).withColumn("range_no", F.floor((F.col("end_char") - 1) / range_chars).cast("int"))
     bodies = ranged.select(F.col(key).cast("string").alias("key"), "range_no", F.col("start").alias("_start"), "body").dropDuplicates(["key", "range_no"])
     joined = offsets.join(bodies, ["key", "range_no"])
     return joined.select(F.col("key").alias(key), "piece_no", "start_char", "end_char", "overlap_chars", "cut_kind", F.substring("body", (F.col("start_char") - F.col("_start") + 1).cast("int"), (F.col("end_char") - F.col("start_char")).cast("int")).alias("piece_text"))

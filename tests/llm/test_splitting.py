@@ -64,3 +64,38 @@ def test_ranges_agree_with_the_whole(spark, range_chars):
         _, text, policy, kind = texts[name]
         check(text, (130 if kind == "table_row" else 90) if policy else 1800, 20 if policy else 320, pieces)
     assert splitting.pieces(over.limit(0)).count() == 0
+
+
+def whole(text, limit, overlap):
+    """The pieces by best_cut on the whole text, cut after cut."""
+    overlap = splitting.grid(limit, overlap)[0]
+    out, cut, start = [], 0, 0
+    while len(text) - start > limit:
+        low, high = cut, start + limit
+        cut, kind = splitting.best_cut(text, low, high, high)
+        out.append((len(out), start, cut, low - start, kind))
+        start = splitting.overlap_start(text, cut, overlap)
+    return [*out, (len(out), start, len(text), cut - start, "end")]
+
+
+@given(st.lists(st.sampled_from(["word ", "longer. ", "line\n", "para\n\n", "字。", "字", "xxxxxxxxxxxx", "é", "-"]), min_size=5, max_size=150), st.integers(20, 60), st.integers(0, 40), st.integers(16, 200))
+@settings(max_examples=300, deadline=None)
+def test_stitched_cuts_equal_the_best_of_each_span(parts, limit, overlap, size):
+    text = "".join(parts)
+    if len(text) <= limit:
+        return
+    own, stride, slack = splitting.grid(limit, overlap)
+    chain, got = splitting.Chain(limit, len(text)), []
+    for first in range(0, len(text), size):
+        last, start = min(len(text), first + size), max(0, first - 2 * limit)
+        body = text[start : last + 2 * limit]
+        found = splitting.boundaries(body, first - start, last - start, stride + slack)
+        got += chain.feed([at + start for at, _ in found], [splitting.overlap_start(body, at, own) + start for at, _ in found], [rank for _, rank in found], last)
+    assert got == whole(text, limit, overlap)
+
+
+def test_boundaries_anywhere_in_the_span_are_used(spark):
+    text = "a" * 40 + "\n\n" + "b" * 50 + ". " + "c" * 45 + "\n" + "d" * 70
+    texts = spark.createDataFrame([("k", text, len(text), 100, 0)], "chunk_id string, content_text string, n_chars int, limit_chars int, overlap_chars int")
+    got = [(r.end_char, r.cut_kind) for r in splitting.pieces(texts).orderBy("piece_no").collect()]
+    assert got == [(42, "paragraph"), (140, "line"), (210, "end")]
