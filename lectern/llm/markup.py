@@ -275,7 +275,9 @@ def threshold(values: list[float]) -> float:
 
 
 _TAG = re.compile(r"<[^<>\n]*>")
-_SENTENCE = re.compile(r"\w+\W+\w+\W+\w+[^\n]*[.!?。！？।؟]|\w{3,}\W+\w+\W+\w+\W+\w+\W+\w+")
+#: Letters of scripts written without blanks (Thai, Lao, Burmese, Khmer, kana, Han): there letters count instead of words.
+_DENSE = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]"
+_SENTENCE = re.compile(r"\w+\W+\w+\W+\w+[^\n]*[.!?。！？।؟]|\w{3,}\W+\w+\W+\w+\W+\w+\W+\w+" + f"|{_DENSE}{{5,}}[^\\n]*[.!?。！？]|{_DENSE}{{10,}}")
 
 
 def content_lines(masked: str) -> list[bool]:
@@ -378,7 +380,7 @@ def clean_text(text: str | None) -> tuple[str, dict[str, int], int, int]:
         at = end
     body.append(text[at:])
     lines = "".join(body).split("\n")
-    keep = [content[no] or no in at_line or not line.strip() or bool(_SENTENCE.search(_TAG.sub(" ", line))) or "\x02" in line for no, line in enumerate(lines)]
+    keep = [content[no] or no in at_line or not line.strip() or not _TAG.search(line) or bool(_SENTENCE.search(_TAG.sub(" ", line))) or "\x02" in line for no, line in enumerate(lines)]
     titles = {no for no, (a, b) in enumerate(zip(lines, lines[1:])) if a.strip() and _SETEXT.match(b) and no in at_line}
     out = []
     for no, line in enumerate(lines):

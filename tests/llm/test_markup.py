@@ -57,3 +57,13 @@ def test_spark_forms(spark):
     clean = {r.extraction_id: r for r in markup.clean(df).collect()}
     assert set(clean) == {1, 2, 3} and clean[2].clean_text == "" and clean[1].n_headings == 1
     assert markup.units(df.limit(0)).count() == 0 and markup.clean(df.limit(0)).count() == 0
+
+
+def test_short_plain_lines_stay_in_mixed_records():
+    long = "This is a long line of plain prose, one that goes on and on about torque and seat rails. " * 4
+    short = ["扭矩过高", "ok", "key value", "| a | b |", "แรงบิดสูง"]
+    text = "\n".join([long] * 6 + ["<b>x</b>"] + short + [long] * 6)
+    clean, _, _, _ = markup.clean_text(text)
+    assert all(line.strip(" |").split(" | ")[0] in clean for line in short)
+    tagged = "\n".join([long] * 6 + ["<i>座椅导轨的扭矩在冷浸期间</i><b>过</b><i>高</i>"] * 3 + [long] * 6)
+    assert "座椅导轨的扭矩在冷浸期间" in markup.clean_text(tagged)[0]
