@@ -156,10 +156,42 @@ def visit(value, id_field: str) -> Iterator[tuple]:
                     push((inner, parent_row, parent_id, field, at, depth))
 
 
+def _list_text(values: list) -> str | None:
+    """A list as JSON of any depth, null in the place of each object in it; None where it holds objects and no values."""
+    parts, stack, held, plain = ["["], [(iter(values), True)], False, False
+    while stack:
+        inner, first = stack.pop()
+        for value in inner:
+            if not first:
+                parts.append(", ")
+            first = False
+            if type(value) is list:
+                parts.append("[")
+                stack += [(inner, False), (iter(value), True)]
+                break
+            if type(value) is dict:
+                held = True
+                parts.append("null")
+            else:
+                plain = True
+                parts.append(json.dumps(value, ensure_ascii=False))
+        else:
+            parts.append("]")
+    return None if held and not plain else "".join(parts)
+
+
 def _payload(here: dict) -> str:
-    """The object's own fields: scalars and lists of scalars; nested objects are rows of their own."""
-    own = {k: v for k, v in here.items() if not (type(v) is dict or (type(v) is list and any(type(x) in (dict, list) for x in v)))}
-    return json.dumps(own, ensure_ascii=False)
+    """The object's own fields: scalars, and lists with the values in them at any depth; nested objects are rows of their own."""
+    own, lists = {}, []
+    for name, value in here.items():
+        if type(value) is list and any(type(x) in (dict, list) for x in value):
+            body = _list_text(value)
+            if body is not None:
+                lists.append(f"{json.dumps(name, ensure_ascii=False)}: {body}")
+        elif type(value) is not dict:
+            own[name] = value
+    whole = json.dumps(own, ensure_ascii=False)
+    return whole if not lists else "{" + ", ".join(([whole[1:-1]] if own else []) + lists) + "}"
 
 
 def _records(df: DataFrame, key: str, text: str, kind: str) -> DataFrame:

@@ -35,3 +35,15 @@ def test_tables_keep_links(spark, tmp_path):
     links = nested.emit_links(df, "artifact_id", "master_json", "master", "node_id").distinct()
     assert {(r.node_id, r.parent_id) for r in links.collect()} == {("r", ""), ("x", "r")}
     assert nested.emit_links(df.limit(0), "artifact_id", "master_json", "master", "node_id").count() == 0
+
+
+def test_payload_keeps_lists_of_lists_and_mixed_lists():
+    deep = value = []
+    for _ in range(50_000):
+        value.append([])
+        value = value[0]
+    value.append(1)
+    here = {"a": 1, "grid": [[1, 2], ["x\n", None]], "mixed": [1, {"k": 2}, "y"], "inner": [[{"k": 3}], 4], "children": [{"k": 5}], "empty": [[]], "own": {"k": 6}, "flat": [7]}
+    assert json.loads(nested._payload(here)) == {"a": 1, "grid": [[1, 2], ["x\n", None]], "mixed": [1, None, "y"], "inner": [[None], 4], "empty": [[]], "flat": [7]}
+    assert json.loads(nested._payload({"grid": [[1]]})) == {"grid": [[1]]} and nested._payload({"children": [{}]}) == "{}"
+    assert nested._payload({"d": deep}) == '{"d": ' + "[" * 50_001 + "1" + "]" * 50_001 + "}"
