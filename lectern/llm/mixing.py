@@ -4,7 +4,9 @@ Every document gets a rate, the expected number of its copies. Among all rates t
 nearest to one copy each (in relative entropy) are exponentially tilted: rate = exp(lambda of its source * its tokens
 over the source's mean). The lambdas solve the convex dual; Newton's iterations for all sources run together, each as one
 distributed aggregation over the histogram (source, tokens, documents), which is all the solver needs. Rates are cut at
-the source's repeat cap, and a bracket around each lambda keeps the iterations safe where the cap makes the dual flat.
+the source's repeat cap, and a bracket around each lambda keeps the iterations safe where the cap makes the dual flat. A
+source whose documents are all at the cap while its target is still missed has a dual without a maximum: it can't reach its
+share, and that is how :func:`unreachable` knows.
 Rates are then rounded to copies systematically, in an order that reruns and any partitioning agree on.
 """
 
@@ -13,6 +15,7 @@ from __future__ import annotations
 import base64
 import math
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
@@ -25,13 +28,10 @@ from lectern.plans.lineage import broadcast_checked, cut
 #: The public tokenizer whose tokens are the sizes, and its splitting pattern (fixed values).
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Longer texts are counted piece by piece, each ending before a space.
-PIECE_CHARS = 1_000_000
-ROUNDS, CLOSE = 60, 1e-9
+#: Rounds of Newton's iteration, and how near a source's tokens come to its target, from above and from below.
+ROUNDS, CLOSE, CLOSEST = 200, 1e-9, 1e-13
 #: Documents of one source and length that one task numbers.
 PART_DOCS = 50_000
-#: Most sources of one mix: their lambdas travel with the plan.
-MAX_SOURCES = 10_000
 
 
 @lru_cache(maxsize=4)
@@ -47,17 +47,7 @@ def count_tokens(text: str | None, path: str = TOKENIZER, pattern: str = PATTERN
     if not text:
         return 0
     encode = encoding(path, pattern).encode_ordinary
-    if len(text) <= PIECE_CHARS:
-        return len(encode(text))
-    total, at = 0, 0
-    while at < len(text):
-        end = min(len(text), at + PIECE_CHARS)
-        if end < len(text):
-            space = text.rfind(" ", at + 1, end)
-            end = space if space > at else end
-        total += len(encode(text[at:end]))
-        at = end
-    return total
+    return len(encode(text))
 
 
 def source_name(column: Column | str) -> Column:
@@ -84,80 +74,90 @@ def sized(documents: DataFrame, path: str = TOKENIZER, pattern: str = PATTERN) -
     return own.where(F.col("source").isNotNull()).mapInArrow(run, "doc_id bigint, source string, n_tokens bigint")
 
 
+@dataclass
 class Balance:
-    """The solved mix: for each source its target, size, cap, lambda and mean tokens, and whether it can reach its target."""
-
-    def __init__(self, total: int, sources: dict[str, dict]):
-        self.total, self.sources = total, sources
-
-    def rate(self, source: Column, tokens: Column) -> Column:
-        """The rate of a document as a column; null for sources that aren't in the mix."""
-        out = F.lit(None).cast("double")
-        for name, s in self.sources.items():
-            own = F.lit(float(s["cap"])) if s["lambda"] == math.inf else F.least(F.lit(float(s["cap"])), F.exp(F.least(F.lit(700.0), tokens * (s["lambda"] / s["mean"]))))
-            out = F.when(source == name, own).otherwise(out)
-        return out
-
-
-def _newton(histogram: DataFrame, sources: dict[str, dict]) -> None:
-    """Solves sum(n * count * min(cap, exp(lambda * n / mean))) = target for every source that can reach it."""
-    spark = histogram.sparkSession
-    open_names = [name for name, s in sources.items() if s["reachable"] and s["tokens"] > 0 and s["target"] > 0]
-    for name in open_names:
-        sources[name] |= {"lambda": 0.0, "low": -math.inf, "high": math.inf}
+    """A solved mix: its tokens, and one row per source of the targets (``state``): source, weight, cap, tokens, docs, mean,
+    target, lam (the dual variable) and status, 'solved' or 'saturated'. A saturated source has every document at its cap and
+    still misses its target: its dual has no maximum, it can't reach its share."""
+
+    total: int
+    state: DataFrame
+
+    def rated(self, sizes: DataFrame) -> DataFrame:
+        """``sizes`` with the rate of each document; documents of other sources than the mix's are left out."""
+        own = broadcast_checked(self.state.select("source", "mean", "lam", "status", F.col("cap").cast("double").alias("cap"), "target"))
+        tilted = F.least(F.col("cap"), _tilted())
+        rate = F.when(F.col("target") <= 0, 0.0).when(F.col("status") == SATURATED, F.col("cap")).otherwise(tilted)
+        return sizes.join(own, "source").select(*sizes.columns, rate.alias("rate"))
+
+
+OPEN, SOLVED, SATURATED = "open", "solved", "saturated"
+
+
+def _tilted() -> Column:
+    return F.exp(F.least(F.lit(700.0), F.col("n_tokens") * F.col("lam") / F.col("mean")))
+
+
+def _newton(histogram: DataFrame, state: DataFrame) -> DataFrame:
+    """Solves sum(n * count * min(cap, exp(lam * n / mean))) = target for every open source of ``state``.
+
+    One round is one aggregation of the histogram and one update of the state, both distributed; the state is written to
+    the checkpoint folder, and the driver learns how many sources are still open. ``room`` is what isn't at its cap yet:
+    where there is none and the target is still missed, the dual has no maximum.
+    """
+    inf = F.lit(math.inf)
     for _ in range(ROUNDS):
-        if not open_names:
-            break
-        state = broadcast_checked(spark.createDataFrame([(name, sources[name]["lambda"] / sources[name]["mean"], float(sources[name]["cap"])) for name in open_names], "source string, slope double, cap double"))
-        tilted = F.exp(F.least(F.lit(700.0), F.col("n_tokens") * F.col("slope")))
+        left = state.where(F.col("status") == OPEN).select("source", "lam", "mean", F.col("cap").cast("double").alias("cap"))
+        asked = broadcast_checked(left)
         weight = F.col("n_tokens") * F.col("n_docs")
-        rows = histogram.join(state, "source").groupBy("source").agg(F.sum(weight * F.least(F.col("cap"), tilted)).alias("g"), F.sum(F.when(tilted < F.col("cap"), weight * F.col("n_tokens") * tilted)).alias("h")).collect()
-        left = []
-        for row in rows:
-            s = sources[row["source"]]
-            gap = s["target"] - row["g"]
-            if abs(gap) <= CLOSE * s["target"]:
-                continue
-            if gap > 0:
-                s["low"] = s["lambda"]
-            else:
-                s["high"] = s["lambda"]
-            slope = (row["h"] or 0.0) / s["mean"]
-            step = s["lambda"] + gap / slope if slope > 0 else math.nan
-            if not s["low"] < step < s["high"]:
-                low = s["low"] if s["low"] > -math.inf else min(-1.0, 2 * s["high"])
-                high = s["high"] if s["high"] < math.inf else max(1.0, 2 * s["low"])
-                step = (low + high) / 2 if s["low"] > -math.inf and s["high"] < math.inf else (high if gap > 0 else low)
-            if step != s["lambda"]:
-                s["lambda"] = step
-                left.append(row["source"])
-        open_names = left
-
-
-def balance(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> Balance:
-    """Solves for a mix of ``total`` tokens, by default as many as all sources together.
+        below = _tilted() < F.col("cap")
+        sums = histogram.join(asked, "source").groupBy("source").agg(F.sum(weight * F.least(F.col("cap"), _tilted())).alias("g"), F.sum(F.when(below, weight * F.col("n_tokens") * _tilted())).alias("h"), F.sum(F.when(below, weight)).alias("room"))
+        gap, slope = F.col("target") - F.coalesce("g", F.lit(0.0)), F.coalesce("h", F.lit(0.0)) / F.col("mean")
+        met = state.join(sums, "source", "left").withColumn("gap", gap).withColumn("newton", F.when(slope > 0, F.col("lam") + gap / slope))
+        met = met.withColumn("low", F.when(F.col("gap") > 0, F.col("lam")).otherwise(F.col("low"))).withColumn("high", F.when(F.col("gap") < 0, F.col("lam")).otherwise(F.col("high")))
+        upwards = F.greatest(F.col("newton"), 2 * F.col("lam"), F.when(F.col("newton").isNull(), 1.0))
+        downwards = F.coalesce(F.col("newton"), F.when(F.col("high") > 0, F.col("high") / 2).otherwise(F.least(F.lit(-1.0), 2 * F.col("high"))))
+        between = F.when((F.col("newton") > F.col("low")) & (F.col("newton") < F.col("high")), F.col("newton")).otherwise((F.col("low") + F.col("high")) / 2)
+        step = F.when(F.col("high") == inf, upwards).when(F.col("low") == -inf, downwards).otherwise(between)
+        saturated = (F.coalesce("room", F.lit(0)) == 0) & (F.col("gap") > 0)
+        done = ((F.col("gap") <= 0) & (F.col("gap") >= -CLOSE * F.col("target"))) | ((F.col("gap") > 0) & (F.col("gap") <= CLOSEST * F.col("target"))) | (step == F.col("lam"))
+        is_open = F.col("status") == OPEN
+        status = F.when(~is_open, F.col("status")).when(saturated, SATURATED).when(done, SOLVED).otherwise(OPEN)
+        met = met.withColumn("now", status)
+        state = cut(met.select("source", "weight", "cap", "tokens", "docs", "mean", "target", F.when(F.col("now") == OPEN, step).otherwise(F.col("lam")).alias("lam"), "low", "high", F.col("now").alias("status")))
+        if state.where(F.col("status") == OPEN).isEmpty():
+            break
+    return state.withColumn("status", F.when(F.col("status") == OPEN, SOLVED).otherwise(F.col("status")))
+
+
+def _sums(histogram: DataFrame) -> DataFrame:
+    return histogram.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("n_docs")).alias("tokens"), F.sum("n_docs").alias("docs"))
+
+
+def _plan(histogram: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, weight, cap, tokens, docs) of every source with a target."""
+    asked = targets.select(source_name("source").alias("source"), F.col("target_weight").cast("double").alias("w"), F.coalesce(F.col("max_repeats").cast("int"), F.lit(1)).alias("cap")).where(F.col("source").isNotNull() & F.col("w").isNotNull())
+    first = asked.groupBy("source").agg(F.min(F.struct("w", "cap")).alias("t")).select("source", F.col("t.w").alias("weight"), F.greatest(F.lit(0), F.col("t.cap")).alias("cap"))
+    return first.join(_sums(histogram), "source", "left").select("source", "weight", "cap", F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("docs", F.lit(0)).alias("docs"))
+
+
+def balance(histogram: DataFrame, targets: DataFrame, total: int | None = None) -> Balance:
+    """Solves for a mix of ``total`` tokens, by default as many as all sources together. ``histogram``: (source, n_tokens,
+    n_docs), as :func:`lengths` gives it.
 
     ``targets`` (source, target_weight, max_repeats): rows with a null source or weight are left out, of repeated sources
-    the first in order counts, a null cap means 1. A source can't reach its share if max_repeats times its size is less
-    than target_weight times the total; its rate is then its cap. What returns to the driver is one row per source.
+    the one with the least weight, then cap, counts, a null cap means 1. A source that can't reach its share comes out
+    saturated; its rate is its cap. Any number of sources: nothing but totals returns to the driver.
     """
-    histogram = cut(sizes.groupBy("source", "n_tokens").agg(F.count("*").alias("n_docs")))
-    totals = {r["source"]: r for r in histogram.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("n_docs")).alias("tokens"), F.sum("n_docs").alias("docs")).limit(MAX_SOURCES + 1).collect()}
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    whole = total if total is not None else sum(r["tokens"] for r in totals.values())
-    sources: dict[str, dict] = {}
-    for row in targets.select(source_name("source").alias("source"), F.col("target_weight").cast("double").alias("w"), F.coalesce(F.col("max_repeats").cast("int"), F.lit(1)).alias("cap")).where(F.col("source").isNotNull() & F.col("w").isNotNull()).orderBy("source", "w", "cap").limit(MAX_SOURCES).collect():
-        own = totals.get(row["source"])
-        tokens = int(own["tokens"]) if own else 0
-        sources.setdefault(row["source"], {"weight": row["w"], "cap": max(0, row["cap"]), "tokens": tokens, "docs": int(own["docs"]) if own else 0, "mean": max(1e-9, tokens / own["docs"]) if own else 1.0, "target": row["w"] * whole, "reachable": max(0, row["cap"]) * tokens >= row["w"] * whole, "lambda": math.inf if row["w"] > 0 else -math.inf})
-    for s in sources.values():
-        if s["target"] <= 0:
-            s["cap"], s["lambda"] = 0, math.inf
-        elif s["reachable"] and s["cap"] * s["tokens"] == s["target"]:
-            s["lambda"] = math.inf
-    _newton(histogram, sources)
-    return Balance(whole, sources)
+    whole = total if total is not None else int(histogram.agg(F.sum(F.col("n_tokens") * F.col("n_docs"))).first()[0] or 0)
+    plan = _plan(histogram, targets).withColumn("mean", F.greatest(F.lit(1e-9), F.coalesce(F.col("tokens") / F.when(F.col("docs") > 0, F.col("docs")), F.lit(1.0)))).withColumn("target", F.col("weight") * F.lit(float(whole)))
+    start = plan.withColumn("lam", F.lit(0.0)).withColumn("low", F.lit(-math.inf)).withColumn("high", F.lit(math.inf)).withColumn("status", F.when(F.col("target") <= 0, SOLVED).otherwise(OPEN))
+    return Balance(whole, _newton(histogram, cut(start)))
+
+
+def lengths(sizes: DataFrame) -> DataFrame:
+    """(source, n_tokens, n_docs): all that the solver needs of the documents."""
+    return cut(sizes.groupBy("source", "n_tokens").agg(F.count("*").alias("n_docs")))
 
 
 def mix(sizes: DataFrame, solved: Balance, seed: int = 0) -> DataFrame:
@@ -168,7 +168,7 @@ def mix(sizes: DataFrame, solved: Balance, seed: int = 0) -> DataFrame:
     are the rate rounded up or down, never above the cap, and a source's tokens miss their target by about one document.
     The running sums come from the histogram; documents of one length are numbered in parts of bounded size.
     """
-    rated = sizes.withColumn("rate", solved.rate(F.col("source"), F.col("n_tokens"))).where(F.col("rate").isNotNull())
+    rated = solved.rated(sizes)
     by_length = cut(rated.groupBy("source", "n_tokens").agg(F.count("*").alias("n"), F.first("rate").alias("r")).withColumn("parts", F.ceil(F.col("n") / PART_DOCS)))
     parted = rated.join(by_length.select("source", "n_tokens", "parts"), ["source", "n_tokens"]).withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("parts")))
     by_part = parted.groupBy("source", "n_tokens", "part").agg(F.count("*").alias("n"), F.first("rate").alias("r"))
@@ -186,29 +186,30 @@ def mix(sizes: DataFrame, solved: Balance, seed: int = 0) -> DataFrame:
 
 def shares(mixed: DataFrame, solved: Balance) -> DataFrame:
     """The report: (source, target_weight, max_repeats, n_docs, size_tokens, mix_tokens, actual_share, reachable)."""
-    spark = mixed.sparkSession
     actual = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("mix_tokens"))
-    rows = [(name, s["weight"], s["cap"], s["docs"], s["tokens"], s["reachable"]) for name, s in solved.sources.items()]
-    plan = spark.createDataFrame(rows, "source string, target_weight double, max_repeats int, n_docs bigint, size_tokens bigint, reachable boolean")
-    joined = plan.join(actual, "source", "left").withColumn("mix_tokens", F.coalesce("mix_tokens", F.lit(0)))
     whole = actual.agg(F.sum("mix_tokens").alias("_all"))
-    return joined.crossJoin(F.broadcast(whole)).select("source", "target_weight", "max_repeats", "n_docs", "size_tokens", "mix_tokens", (F.col("mix_tokens") / F.when(F.col("_all") > 0, F.col("_all"))).alias("actual_share"), "reachable")
+    joined = solved.state.join(actual, "source", "left").withColumn("mix_tokens", F.coalesce("mix_tokens", F.lit(0)))
+    share = F.col("mix_tokens") / F.when(F.col("_all") > 0, F.col("_all"))
+    return joined.crossJoin(F.broadcast(whole)).select("source", F.col("weight").alias("target_weight"), F.col("cap").alias("max_repeats"), F.col("docs").alias("n_docs"), F.col("tokens").alias("size_tokens"), "mix_tokens", share.alias("actual_share"), (F.col("status") != SATURATED).alias("reachable"))
 
 
 def solve(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, pattern: str = PATTERN) -> tuple[DataFrame, Balance]:
     """Sizes and the balance of a mix as large as the whole corpus."""
     sizes = cut(sized(documents, path, pattern))
-    return sizes, balance(sizes, targets)
+    return sizes, balance(lengths(sizes), targets)
 
 
 def solve_exact(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, pattern: str = PATTERN) -> tuple[DataFrame, Balance]:
     """Sizes and the balance of the largest mix, up to the whole corpus, in which every source can have its share."""
-    sizes, whole = solve(documents, targets, path, pattern)
-    total = min([whole.total, *(s["cap"] * s["tokens"] / s["weight"] for s in whole.sources.values() if s["weight"] > 0 and s["tokens"])])
-    return sizes, whole if total == whole.total else balance(sizes, targets, math.floor(total))
+    sizes = cut(sized(documents, path, pattern))
+    histogram = lengths(sizes)
+    whole = int(histogram.agg(F.sum(F.col("n_tokens") * F.col("n_docs"))).first()[0] or 0)
+    most = _plan(histogram, targets).where("weight > 0 and tokens > 0").agg(F.min(F.col("cap") * F.col("tokens") / F.col("weight"))).first()[0]
+    return sizes, balance(histogram, targets, whole if most is None else min(whole, math.floor(most)))
 
 
-def unreachable(documents: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source): the sources whose share stays out of reach in a mix as large as the whole corpus."""
-    _, solved = solve(documents, targets)
-    return documents.sparkSession.createDataFrame([(name,) for name, s in solved.sources.items() if not s["reachable"]], "source string")
+def unreachable(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, pattern: str = PATTERN) -> DataFrame:
+    """(source): the sources whose share stays out of reach in a mix as large as the whole corpus: those whose dual runs
+    into the cap of every document and still misses the target."""
+    histogram = lengths(sized(documents, path, pattern))
+    return balance(histogram, targets).state.where(F.col("status") == SATURATED).select("source")

@@ -44,11 +44,21 @@ def test_tokens_and_empty_tables(spark):
     text = "several words here " * 3000
     whole = mixing.count_tokens(text)
     assert whole == len(mixing.encoding(mixing.TOKENIZER, mixing.PATTERN).encode_ordinary(text))
-    before, mixing.PIECE_CHARS = mixing.PIECE_CHARS, 1000
-    try:
-        assert mixing.count_tokens(text) == whole
-    finally:
-        mixing.PIECE_CHARS = before
     t = targets(spark, ("a", 0.5, 1))
     assert mixing.unreachable(corpus(spark), t.limit(0)).count() == 0
     assert [r.source for r in mixing.unreachable(corpus(spark).limit(0), t).collect()] in ([], ["a"])
+
+
+def test_unreachable_comes_from_the_dual(spark, monkeypatch):
+    t = targets(spark, ("A", 0.3, 4), ("b", 0.3, 4), ("C", 0.4, 3))
+    monkeypatch.setattr(mixing, "_newton", lambda histogram, state: state)
+    assert mixing.unreachable(corpus(spark), t).count() == 0  # without the iterations nothing is known
+
+
+def test_more_sources_than_any_bound_and_ties(spark):
+    docs = spark.range(25_000).selectExpr("id AS doc_id", "concat('w ', id % 7) AS text", "concat('s', id) AS source")
+    t = spark.range(25_000).selectExpr("concat('S', id) AS source", "1e0 / 25000 AS target_weight", "IF(id < 12000, 0, 3) AS max_repeats")
+    assert mixing.unreachable(docs, t).count() == 12_000
+    two = spark.createDataFrame([(1, "a b c d", "x"), (2, "a b c d", "y")], "doc_id bigint, text string, source string")
+    exact = targets(spark, ("x", 0.5, 1), ("y", 0.5000001, 1))  # x reaches its share with nothing to spare
+    assert [r.source for r in mixing.unreachable(two, exact).collect()] == ["y"]
