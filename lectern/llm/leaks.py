@@ -11,10 +11,12 @@ piece and the document around the hit. The corpus is read once and never shuffle
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 WORD_WINDOW, LETTER_WINDOW, LETTER_LANGS = 12, 20, ("zh", "ja")
 #: Edits that verification forgives; the exact check of p6_found then asks for none.
 ERROR_BUDGET = 1
-#: Bytes of item text that may be sent to the workers.
-ITEM_BYTES = 64_000_000
+#: Bytes of item text that one pass over the corpus sends to the workers; more items take more passes.
+ITEM_BYTES = 4_000_000
 
 #: Dropped before matching: soft hyphen, zero-width characters and joiners, byte order mark (fixed values).
 _DROP = dict.fromkeys(map(ord, "\u00ad\u200b\u200c\u200d\u2060\ufeff\u180e"))
@@ -218,14 +220,21 @@ def find_leaks(documents: DataFrame, items: DataFrame, budget: int = ERROR_BUDGE
     edits. ``errors`` are those of its best passage, ``run_units`` the most units in a row that agree exactly.
 
     An item of no more units than the budget matches only where it stands whole: the edits would leave nothing of it.
-    Null texts and ids match nothing; a repeated item or document counts once. The items' size is checked on the driver:
-    beyond ``ITEM_BYTES`` the call is refused, as an evaluation set is small by nature; split it and union the results.
+    Null texts and ids match nothing; a repeated item or document counts once. The items are sent to the workers in parts of
+    about ``ITEM_BYTES``, by the hash of their ids, one pass over the corpus for each part; a usual evaluation set is one.
     """
     own = items.select("item_id", "lang", "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct()
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > ITEM_BYTES:
-        raise ValueError(f"evaluation items of {size} bytes; at most {ITEM_BYTES} are sent to the workers at once")
-    sent = documents.sparkSession.sparkContext.broadcast([tuple(r) for r in own.collect()])
+    parts = max(1, math.ceil(size / ITEM_BYTES))
+    source = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    found = [_one_pass(source, own if parts == 1 else own.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == no), budget, word_window, letter_window) for no in range(parts)]
+    whole = reduce(DataFrame.unionByName, found)
+    return whole.groupBy("item_id", "doc_id").agg(F.min("errors").alias("errors"), F.max("run_units").alias("run_units"), F.max("need_units").alias("need_units"))
+
+
+def _one_pass(source: DataFrame, items: DataFrame, budget: int, word_window: int, letter_window: int) -> DataFrame:
+    """The matches of one part of the items, whose size the caller bounds, with every document."""
+    sent = source.sparkSession.sparkContext.broadcast([tuple(r) for r in items.collect()])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(build_items(sent.value, budget, word_window, letter_window))
@@ -236,17 +245,15 @@ def find_leaks(documents: DataFrame, items: DataFrame, budget: int = ERROR_BUDGE
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["item_id", "doc_id", "errors", "run_units", "need_units"])
 
-    source = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    found = source.mapInArrow(run, "item_id bigint, doc_id bigint, errors int, run_units int, need_units int")
-    return found.groupBy("item_id", "doc_id").agg(F.min("errors").alias("errors"), F.max("run_units").alias("run_units"), F.max("need_units").alias("need_units"))
+    return source.mapInArrow(run, "item_id bigint, doc_id bigint, errors int, run_units int, need_units int")
 
 
 def exact_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(item_id, doc_id) where the exact check holds: the needed units stand in a row in the document."""
-    return find_leaks(documents, items).where(F.col("run_units") >= F.col("need_units")).select("item_id", "doc_id")
+    """(item_id, doc_id) where a passage stands in the document without an edit: Myers' distance of its best passage is 0."""
+    return find_leaks(documents, items).where(F.col("errors") == 0).select("item_id", "doc_id")
 
 
 def leaked_documents(documents: DataFrame, items: DataFrame) -> DataFrame:
     """One row per document concerned: (doc_id, n_items, n_exact, least_errors); the items leaked into it are counted."""
     found = find_leaks(documents, items)
-    return found.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.count_if(F.col("run_units") >= F.col("need_units")).alias("n_exact"), F.min("errors").alias("least_errors"))
+    return found.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.count_if(F.col("errors") == 0).alias("n_exact"), F.min("errors").alias("least_errors"))

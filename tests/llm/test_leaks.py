@@ -52,6 +52,11 @@ def test_exact_leaks_equal_brute_force(spark):
     evals = spark.createDataFrame([(*i, 3) for i in items + items[:3]], "item_id bigint, lang string, text string, doc_id int")
     got = {tuple(r) for r in leaks.exact_leaks(documents, evals).collect()}
     assert got == brute(items, docs) and len(got) > 60
+    before, leaks.ITEM_BYTES = leaks.ITEM_BYTES, 1000
+    try:  # items in several parts, one pass each
+        assert {tuple(r) for r in leaks.exact_leaks(documents, evals).collect()} == got
+    finally:
+        leaks.ITEM_BYTES = before
     assert leaks.exact_leaks(documents.limit(0), evals).count() == 0 and leaks.exact_leaks(documents, evals.limit(0)).count() == 0
 
 
@@ -98,3 +103,12 @@ def test_one_edit_is_found_at_every_phase():
             doc = ["Q"] * 3 + part + ["Q"] * 3
             wanted, found = least_errors(item, doc, need), matcher.matches(glue.join(doc))
             assert (found[7][0] == wanted) if wanted <= 1 else not found
+
+
+def test_rows_come_from_the_distance(spark, monkeypatch):
+    item = "the bench crew saw a torque peak on the seat rail during cold soak"
+    docs = spark.createDataFrame([(2, "Note: " + item)], "doc_id bigint, text string")
+    matcher = leaks.Matcher(leaks.build_items([(7, "en", item)]))
+    assert matcher.matches("Note: " + item)[7][0] == 0
+    monkeypatch.setattr(leaks, "myers", lambda pattern, text, most: (most + 1, 0))
+    assert not matcher.matches("Note: " + item)
