@@ -1,12 +1,13 @@
 """Sentence units of documents in any language, script and layout.
 
 The boundary rules are compiled into a finite transducer. Its input symbols are the few places of a text that can matter
-(marks, quotation marks, brackets, blank lines, list lines, spaces between Thai letters), each classified by a bounded
-look around it; its states say whether the text stands outside any quotation or bracket, and if not, inside which kind,
-how deep, and whether that was opened at a sentence's start. A short document is run through it in one go. A document
-longer than ``CHUNK_CHARS`` is cut into chunks: each yields its state-transition function (the end state for every start
-state), the functions of a document are composed by a parallel prefix scan, and each chunk then emits its boundaries
-from the state it is entered with. No task ever holds a long document as a whole.
+(marks, quotation marks, brackets, blank lines, list lines, spaces between Thai letters), each classified by a look around
+it; its states say whether the text stands outside any quotation or bracket, and if not, inside which kind, how deep, and
+whether that was opened at a sentence's start. A short document is run through it in one go. A document longer than
+``CHUNK_CHARS`` is cut into chunks, with the same result: a scan from the end tells each chunk which closing marks still
+follow in its last block; each chunk then yields its state-transition function (the end state for every start state), the
+functions are composed by a parallel prefix scan (groups of chunks, then the groups of a document), and each chunk emits its
+units from the state it is entered with.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Characters of a chunk, and what of the text around it is read along: before it, after it.
-CHUNK_CHARS, HALO_BEFORE, HALO_AFTER = 262_144, 256, 4_096
-#: An opening mark counts only if its closing mark follows within so many characters of the same block.
-CLOSE_WITHIN = 2_000
+from lectern.plans.lineage import cut as cut_lineage
+
+#: Characters of a chunk, and what of the text around it is read along, more than any look around an event needs.
+CHUNK_CHARS, HALO_BEFORE, HALO_AFTER = 262_144, 256, 64
+#: Chunks whose functions one task composes in the first step of the scan.
+SCAN_GROUP = 64
 
 # Marks, pairs, abbreviations.
 MARKS = ".!?…。！？｡।॥؟۔‼⁇⁈⁉"
@@ -63,7 +66,8 @@ _LAST_WORD = re.compile(r"(\w+)\s+\Z")
 # ---- the transducer ----
 
 _FRESH, _WITHIN = 0, 1
-_DEPTHS = 3
+#: A transducer is finite: of one kind, so many levels within each other are told apart, more than any text was seen to hold.
+_DEPTHS = 64
 STATES = 2 + len(PAIRS) * 2 * _DEPTHS
 
 
@@ -79,40 +83,33 @@ _SIGN = {sign: 2 + 4 * no for no, sign in enumerate(SIGNS)}
 _CLOSING_OF = {opening: closing for opening, closing, _ in PAIRS}
 
 
-def _compile() -> tuple[list[list[int]], list[list[bool]]]:
+def _compile() -> tuple[np.ndarray, np.ndarray]:
     """(next state, emits a boundary) by state and 2 * symbol + (text stands before the symbol)."""
-    goes = [[0] * (2 * SYMBOLS) for _ in range(STATES)]
-    emits = [[False] * (2 * SYMBOLS) for _ in range(STATES)]
-    for state in range(STATES):
-        for symbol in range(SYMBOLS):
-            for text in (0, 1):
-                at = 2 * symbol + text
-                here = _WITHIN if state == _FRESH and text else state
-                to, emit = here, False
-                if symbol == _BREAK:
-                    to, emit = _FRESH, True
-                elif here < 2:
-                    if symbol == _END:
-                        to, emit = _FRESH, True
-                    elif (symbol - 2) % 4 >= 2 and SIGNS[(symbol - 2) // 4] in _CLOSING_OF:
-                        sign = SIGNS[(symbol - 2) // 4]
-                        to = _inside(next(no for no, pair in enumerate(PAIRS) if pair[0] == sign), int(here == _FRESH), 1)
-                elif symbol >= 2:
-                    sign, ends = SIGNS[(symbol - 2) // 4], (symbol - 2) % 2
-                    own, depth = divmod(here - 2, _DEPTHS)
-                    pair, fresh = divmod(own, 2)
-                    opening, closing, bracket = PAIRS[pair]
-                    if sign == closing and depth:
-                        to = here - 1
-                    elif sign == closing:
-                        to, emit = (_FRESH, True) if ends and (fresh or not bracket) else (_WITHIN, False)
-                    elif sign == opening and depth < _DEPTHS - 1:
-                        to = here + 1
-                goes[state][at], emits[state][at] = to, emit
+    goes = np.repeat(np.arange(STATES)[:, None], 2 * SYMBOLS, axis=1)
+    emits = np.zeros((STATES, 2 * SYMBOLS), bool)
+    columns = {sign: np.arange(2 * first, 2 * first + 8).reshape(2, 2, 2) for sign, first in _SIGN.items()}  # opens, ends, text
+    goes[_FRESH, 1::2] = _WITHIN
+    for state, text in ((_FRESH, 0), (_FRESH, 1), (_WITHIN, 0), (_WITHIN, 1)):
+        goes[state, 2 * _END + text], emits[state, 2 * _END + text] = _FRESH, True
+        for no, (opening, _, _) in enumerate(PAIRS):
+            goes[state, columns[opening][1, :, text]] = _inside(no, int(state == _FRESH and not text), 1)
+    for no, (opening, closing, bracket) in enumerate(PAIRS):
+        for fresh in (0, 1):
+            first, last = _inside(no, fresh, 1), _inside(no, fresh, _DEPTHS)
+            deeper = np.arange(first, last)[:, None]
+            if opening != closing:
+                goes[first:last, columns[opening].ravel()] = deeper + 1
+            goes[first + 1 : last + 1, columns[closing].ravel()] = deeper
+            goes[first, columns[closing].ravel()] = _WITHIN
+            if fresh or not bracket:
+                ending = columns[closing][:, 1].ravel()
+                goes[first, ending], emits[first, ending] = _FRESH, True
+    goes[:, 2 * _BREAK : 2 * _BREAK + 2], emits[:, 2 * _BREAK : 2 * _BREAK + 2] = _FRESH, True
     return goes, emits
 
 
-GOES, EMITS = _compile()
+_GOES, _EMITS = _compile()
+GOES, EMITS = _GOES.tolist(), _EMITS.tolist()
 
 
 # ---- classification of events, by a bounded look around ----
@@ -185,18 +182,44 @@ def _point_ends(text: str, at: int, end: int, size: int) -> bool:
     return _starts(text, end, size, "mark")
 
 
-def _closes_ahead(text: str, at: int, closing: str, size: int) -> bool:
-    found = text.find(closing, at + 1, min(size, at + 1 + CLOSE_WITHIN))
-    if found < 0:
-        return False
-    hard = _HARD_AHEAD.search(text, at, found)
-    return hard is None
+_CLOSING = sorted(set(_CLOSING_OF.values()))
+_CLOSING_BIT = {sign: 1 << no for no, sign in enumerate(_CLOSING)}
+_CLOSING_SIGN = re.compile("[" + re.escape("".join(_CLOSING)) + "]")
+
+
+class _Ahead:
+    """Whether an opening mark counts: its closing mark follows in the same block, however far. What was found stays known
+    until the text has passed it, so that asking for all opening marks goes through the text once."""
+
+    def __init__(self, text: str, high: int, beyond: int):
+        self.text, self.high, self.beyond = text, high, beyond
+        self.hard = -1
+        self.next: dict[str, int] = {}
+
+    def closes(self, at: int, closing: str) -> bool:
+        if self.hard <= at:
+            met = _HARD_AHEAD.search(self.text, at + 1)
+            self.hard = met.start() if met and met.start() < self.high else len(self.text) + 1
+        found = self.next.get(closing, -1)
+        if found <= at:
+            found = self.text.find(closing, at + 1, self.high)
+            found = self.next[closing] = found if found >= 0 else len(self.text) + 1
+        return found < min(self.hard, self.high) or (self.hard > self.high and bool(self.beyond & _CLOSING_BIT[closing]))
+
+
+def closing_marks(text: str, low: int, high: int) -> tuple[int, bool]:
+    """(the closing marks of [low, high) before its first hard break, whether there is one)."""
+    met = _HARD_AHEAD.search(text, low)
+    hard = met is not None and met.start() < high
+    signs = set(_CLOSING_SIGN.findall(text, low, met.start() if hard else high))
+    return sum(_CLOSING_BIT[sign] for sign in signs), hard
 
 
-def events(text: str, low: int, high: int) -> tuple[list[int], list[int]]:
-    """(symbols with the text flag, cut positions) of the events that begin in [low, high) of ``text``."""
+def events(text: str, low: int, high: int, beyond: int = 0) -> tuple[list[int], list[int]]:
+    """(symbols with the text flag, cut positions) of the events that begin in [low, high) of ``text``; ``beyond``: the closing
+    marks that follow after ``high`` in the block that goes on there."""
     size = len(text)
-    symbols, cuts = [], []
+    symbols, cuts, ahead = [], [], _Ahead(text, high, beyond)
     done = first = low
     while first > 0 and (text[first - 1] in MARKS or text[first - 1].isspace()):
         first -= 1  # a group of marks or blanks that a chunk's edge parts belongs to the chunk it begins in
@@ -241,7 +264,7 @@ def events(text: str, low: int, high: int) -> tuple[list[int], list[int]]:
                     cut += 1
                 ends = _starts(text, cut, size, "closer")
             closing = _CLOSING_OF.get(sign)
-            opens = closing is not None and _closes_ahead(text, at, closing, size)
+            opens = closing is not None and ahead.closes(at, closing)
             symbols.append(2 * (_SIGN[sign] + 2 * opens + ends) + (at > done and not text[done:at].isspace()))
             cuts.append(cut)
             done = cut if ends else at
@@ -284,19 +307,33 @@ def sentence_spans(text: str) -> list[tuple[int, int]]:
 # ---- long documents: chunks as functions, composed by a prefix scan ----
 
 
-def chunk_function(text: str, low: int, high: int) -> list[int]:
+_RUN_ON = re.compile("[" + re.escape(MARKS + _RUN + _LEAD + "¿¡") + r"\s]*")
+
+
+def chunk_edges(text: str, size: int) -> list[int]:
+    """Edges of chunks of at least ``size`` characters. None falls into a run of marks, quotes, brackets and blanks, which is
+    what a look around an event goes along, however long it is."""
+    out = [0]
+    while out[-1] + size < len(text):
+        at = _RUN_ON.match(text, out[-1] + size).end()
+        if at >= len(text):
+            break
+        out.append(at)
+    return [*out, len(text)]
+
+
+def chunk_function(text: str, low: int, high: int, beyond: int = 0) -> np.ndarray:
     """The state-transition function of the chunk [low, high) of ``text``: its end state for every start state.
 
     Text after the last event moves a fresh state on, so that composing functions equals running through.
     """
-    symbols, cuts = events(text, low, high)
-    out = []
-    rest = text[max(low, cuts[-1] if cuts else low) : high].strip() != ""
-    for state in range(STATES):
-        for symbol in symbols:
-            state = GOES[state][symbol]
-        out.append(_WITHIN if state == _FRESH and rest else state)
-    return out
+    symbols, cuts = events(text, low, high, beyond)
+    ends = np.arange(STATES)
+    for symbol in symbols:
+        ends = _GOES[ends, symbol]
+    if text[max(low, cuts[-1] if cuts else low) : high].strip():
+        ends = np.where(ends == _FRESH, _WITHIN, ends)
+    return ends.astype(np.int16)
 
 
 def compose_prefix(functions: np.ndarray) -> np.ndarray:
@@ -310,68 +347,112 @@ def compose_prefix(functions: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunk_boundaries(text: str, low: int, high: int, state: int) -> list[int]:
+def chunk_boundaries(text: str, low: int, high: int, state: int, beyond: int = 0) -> list[int]:
     """The cuts that the chunk [low, high) emits when entered with ``state``."""
     out = []
-    for symbol, cut in zip(*events(text, low, high)):
+    for symbol, cut in zip(*events(text, low, high, beyond)):
         if EMITS[state][symbol]:
             out.append(cut)
         state = GOES[state][symbol]
     return out
 
 
+_CHUNK = pa.schema([("row", pa.int64()), ("key", pa.int64()), ("no", pa.int32()), ("start", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("last", pa.bool_()), ("closers", pa.int32()), ("hard", pa.bool_()), ("body", pa.string())])
+
+
 def _chunks(documents: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(key, no, n_chunks, start, low, high, body, n): chunks of long texts with their halos; positions within ``body`` are
-    relative to ``start``."""
-    long = documents.select(F.col(key).alias("key"), F.col(text).alias("_t"), F.char_length(text).alias("n")).where(F.col("n") > size)
-    long = long.withColumn("no", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / size).cast("int"))))
-    start = F.greatest(F.lit(0), F.col("no") * size - HALO_BEFORE)
-    return long.select("key", "no", start.alias("start"), (F.col("no") * size - start).alias("low"), (F.least(F.col("n"), (F.col("no") + 1) * size) - start).alias("high"), F.substring("_t", start + 1, F.lit(size + HALO_BEFORE + HALO_AFTER)).alias("body"), "n")
+    """The chunks of the texts longer than ``size``, each with its halos: ``low`` and ``high`` are its ends within ``body``,
+    ``start`` the body's offset; ``closers`` and ``hard`` as :func:`closing_marks` gives them. ``row`` tells texts of one key
+    apart. Goes through each text once."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, own, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                whole = body.as_py()
+                edges = chunk_edges(whole, size)
+                for no, (low, high) in enumerate(zip(edges, edges[1:])):
+                    start, end = max(0, low - HALO_BEFORE), min(len(whole), high + HALO_AFTER)
+                    part = whole[start:end]
+                    values = (row, own, no, start, low - start, high - start, high == len(whole), *closing_marks(part, low - start, high - start), part)
+                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _CHUNK)], schema=_CHUNK)
+
+    long = documents.where(F.char_length(text) > size).select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("_t"))
+    return long.mapInArrow(run, "row bigint, key bigint, no int, start bigint, low int, high int, last boolean, closers int, hard boolean, body string")
+
 
+def _ahead_of(chunks: DataFrame) -> DataFrame:
+    """Chunks with ``beyond``, the closing marks that follow in the block that goes on behind each: a scan from the end over
+    one small row per chunk (a value has at most 2^31 bytes, so a text has a few thousand chunks at most)."""
 
-def long_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = CHUNK_CHARS) -> DataFrame:
-    """(doc_id, start_char, end_char) of the texts longer than ``size``, chunk by chunk. Equal to :func:`sentence_spans`
-    but that a run of more than ``HALO_AFTER`` blanks counts as the halo's length."""
-    chunks = _chunks(documents, key, text, size)
+    def scan(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("no", ascending=False)
+        out, held = [], 0
+        for closers, hard in zip(rows["closers"], rows["hard"]):
+            out.append(held)
+            held = closers if hard else closers | held
+        return rows[["row", "no"]].assign(beyond=np.array(out, np.int32))
+
+    found = chunks.select("row", "no", "closers", "hard").groupBy("row").applyInPandas(scan, "row bigint, no int, beyond int")
+    return chunks.join(found, ["row", "no"])
+
+
+def _entered(ahead: DataFrame) -> DataFrame:
+    """(row, no, before, entry): each chunk's state on entry is before[entry], by a prefix scan in two steps. ``before``
+    composes the functions of the chunks before it in its group, ``entry`` is the state in which its group is entered."""
 
     def functions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d = batch.to_pydict()
-            made = [chunk_function(body, low, high) for body, low, high in zip(d["body"], d["low"], d["high"])]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("no"), pa.array(made, pa.list_(pa.int32()))], names=["key", "no", "f"])
+            made = [chunk_function(body, low, high, beyond).tobytes() for body, low, high, beyond in zip(d["body"], d["low"], d["high"], d["beyond"])]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("no"), pa.array(made, pa.binary())], names=["row", "no", "f"])
 
-    def scan(rows: pd.DataFrame) -> pd.DataFrame:
+    def within_group(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("no")
-        through = compose_prefix(np.array(rows["f"].tolist(), dtype=np.int32))
-        return pd.DataFrame({"key": rows["key"], "no": rows["no"], "state": np.concatenate([[_FRESH], through[:-1, _FRESH]])})
-
-    def cuts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        through = compose_prefix(np.stack([np.frombuffer(f, np.int16) for f in rows["f"]]))
+        before = [np.arange(STATES, dtype=np.int16), *through[:-1]]
+        return pd.DataFrame({"row": rows["row"], "part": rows["part"], "no": rows["no"], "before": [f.tobytes() for f in before], "whole": [None] * (len(rows) - 1) + [through[-1].tobytes()]})
+
+    def across_groups(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("part")
+        through = compose_prefix(np.stack([np.frombuffer(f, np.int16) for f in rows["whole"]]))
+        return pd.DataFrame({"row": rows["row"], "part": rows["part"], "entry": np.concatenate([[_FRESH], through[:-1, _FRESH]]).astype(np.int32)})
+
+    made = ahead.select("row", "no", "low", "high", "beyond", "body").mapInArrow(functions, "row bigint, no int, f binary")
+    grouped = made.withColumn("part", F.floor(F.col("no") / SCAN_GROUP).cast("int")).groupBy("row", "part").applyInPandas(within_group, "row bigint, part int, no int, before binary, whole binary")
+    grouped = cut_lineage(grouped)
+    entries = grouped.where(F.col("whole").isNotNull()).select("row", "part", "whole").groupBy("row").applyInPandas(across_groups, "row bigint, part int, entry int")
+    return grouped.select("row", "part", "no", "before").join(entries, ["row", "part"]).select("row", "no", "before", "entry")
+
+
+def long_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = CHUNK_CHARS) -> DataFrame | None:
+    """(doc_id, start_char, end_char) of the texts longer than ``size``, chunk by chunk, equal to :func:`sentence_spans`; None
+    where there is no such text."""
+    chunks = cut_lineage(_chunks(documents, key, text, size))
+    if chunks.isEmpty():
+        return None
+    ahead = _ahead_of(chunks)
+
+    def units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = batch.to_pydict()
-            keys, at, left, right, last = [], [], [], [], []
-            for own, start, low, high, body, n, state in zip(d["key"], d["start"], d["low"], d["high"], d["body"], d["n"], d["state"]):
-                here = chunk_boundaries(body, low, high, state)
-                if start + low == 0:
-                    here = [0, *here]
-                if start + high == n:
-                    here.append(len(body))
-                for cut in here:
-                    a, b = cut, cut
-                    while a > 0 and body[a - 1].isspace():
-                        a -= 1
-                    while b < len(body) and body[b].isspace():
-                        b += 1
-                    keys.append(own)
-                    at.append(start + cut)
-                    left.append(start + a)
-                    right.append(start + b)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(x, pa.int64()) for x in (at, left, right))], names=["key", "at", "left", "right"])
-
-    made = chunks.select("key", "no", "low", "high", "body").mapInArrow(functions, "key bigint, no int, f array<int>")
-    states = made.groupBy("key").applyInPandas(scan, "key bigint, no int, state int")
-    found = chunks.join(states, ["key", "no"]).select("key", "start", "low", "high", "body", "n", "state").mapInArrow(cuts, "key bigint, at bigint, left bigint, right bigint").dropDuplicates(["key", "at"])
-    spans = found.select("key", F.col("right").alias("start_char"), F.lead("left").over(Window.partitionBy("key").orderBy("at")).alias("end_char"))
-    return spans.where(F.col("start_char") < F.col("end_char")).select(F.col("key").alias(key), "start_char", "end_char")
+            out = []
+            for row, own, no, start, low, high, last, beyond, body, before, entry in zip(*(c.to_pylist() for c in batch.columns)):
+                cuts = set(chunk_boundaries(body, low, high, int(np.frombuffer(before, np.int16)[entry]), beyond))
+                cuts = sorted(cuts | ({0} if start + low == 0 else set()) | ({len(body)} if last else set()))
+                if not cuts:
+                    continue
+                ends = [len(body[:at].rstrip()) if at == len(body) else _blank_ends(body, 0, at)[1] for at in cuts]
+                begins = [at + len(_AFTER.match(body, at)[0]) for at in cuts]
+                out += [(row, own, no, False, start + a, start + b) for a, b in zip(begins, ends[1:]) if a < b]
+                out.append((row, own, no, True, start + begins[-1], start + ends[0]))
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, types)], names=["row", "key", "no", "edge", "start_char", "end_char"])
+
+    entered = ahead.join(_entered(ahead), ["row", "no"]).select("row", "key", "no", "start", "low", "high", "last", "beyond", "body", "before", "entry")
+    found = cut_lineage(entered.mapInArrow(units, "row bigint, key bigint, no int, edge boolean, start_char bigint, end_char bigint"))
+    # Of each chunk with a boundary one row tells where its last unit begins and where the one it was entered in ends.
+    edges = found.where("edge").withColumn("begin", F.lag("start_char").over(Window.partitionBy("row").orderBy("no")))
+    across = edges.where(F.col("begin") < F.col("end_char")).select("key", F.col("begin").alias("start_char"), "end_char")
+    return found.where("not edge").select("key", "start_char", "end_char").unionByName(across).withColumnRenamed("key", key)
 
 
 def short_spans(documents: DataFrame, key: str = "doc_id", text: str = "text", size: int = CHUNK_CHARS) -> DataFrame:
@@ -398,4 +479,5 @@ def sentences(documents: DataFrame, key: str = "doc_id", text: str = "text", siz
     rows. Other columns are not read.
     """
     own = documents.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias(text)).where(F.col(key).isNotNull() & F.col(text).isNotNull())
-    return short_spans(own, key, text, size).unionByName(long_spans(own, key, text, size))
+    long = long_spans(own, key, text, size)
+    return short_spans(own, key, text, size) if long is None else short_spans(own, key, text, size).unionByName(long)

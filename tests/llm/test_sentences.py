@@ -36,19 +36,38 @@ def test_unclosed_quotation_is_none():
     assert len(S.sentence_spans('He said "stop. Then it went. On and on.')) == 3
 
 
+def through_chunks(text, size):
+    """The cuts of a text by chunks alone: closing marks from the end, functions, their composition, emission."""
+    edges = S.chunk_edges(text, size)
+    pairs = list(zip(edges, edges[1:]))
+    beyond, held = [], 0
+    for a, b in reversed(pairs):
+        beyond.insert(0, held)
+        signs, hard = S.closing_marks(text, a, b)
+        held = signs if hard else signs | held
+    through = S.compose_prefix(np.stack([S.chunk_function(text, a, b, c) for (a, b), c in zip(pairs, beyond)]))
+    states = [0, *through[:-1, 0]]
+    return {c for (a, b), state, d in zip(pairs, states, beyond) for c in S.chunk_boundaries(text, a, b, state, d)}
+
+
 @pytest.mark.parametrize("size", [7, 40, 300])
 def test_chunks_compose_to_the_whole(size):
     text = " ".join(CASES) + "\n\n" + "\n".join(CASES)
-    edges = [(a, min(len(text), a + size)) for a in range(0, len(text), size)]
-    through = S.compose_prefix(np.array([S.chunk_function(text, a, b) for a, b in edges]))
-    states = [0, *through[:-1, 0]]
-    cuts = [c for (a, b), state in zip(edges, states) for c in S.chunk_boundaries(text, a, b, state)]
-    assert sorted(set(cuts)) == sorted(set(S.boundaries(text)))
+    assert through_chunks(text, size) == set(S.boundaries(text))
+
+
+def test_long_quotations_and_deep_brackets_are_one_unit():
+    quoted = "He said: “" + "It ran. It stopped. " * 5_000 + "” Then he left."
+    deep = "It (" + "( " * 40 + "was. New" + " )" * 40 + " or. Not) held. Yes."
+    assert len(S.sentence_spans(quoted)) == 2 and len(S.sentence_spans(deep)) == 2
+    for text in (quoted, deep, "One." + " " * 20_000 + "Two." + "\n" * 9_000 + "- three " + "(" * 300 + " a. B" + ")" * 300):
+        for size in (50, 4_000):
+            assert through_chunks(text, size) == set(S.boundaries(text))
 
 
 def test_prefix_scan_equals_running_through():
     rng = np.random.default_rng(0)
-    f = rng.integers(0, S.STATES, (37, S.STATES))
+    f = rng.integers(0, S.STATES, (37, S.STATES)).astype(np.int16)
     scanned, state = S.compose_prefix(f), 5
     for row, composed in zip(f, scanned):
         state = row[state]
@@ -57,9 +76,9 @@ def test_prefix_scan_equals_running_through():
 
 def test_spark_forms_agree(spark):
     long = " ".join(list(CASES) * 6)
-    rows = [(1, long, 9), (2, "Short one. Two.", 9), (3, None, 9), (4, " ", 9), (None, "x.", 9), (5, "\n\n".join(list(CASES) * 4), 9)]
+    rows = [(1, long, 9), (2, "Short one. Two.", 9), (3, None, 9), (4, " ", 9), (None, "x.", 9), (5, "\n\n".join(list(CASES) * 4), 9), (6, "“" + "It ran. " * 400 + "” he said. End." + " " * 900 + "\n\n \nMore. Yes.", 9), (5, "\n\n".join(list(CASES) * 4), 9)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, key int")
     expected = {(i, a, b) for i, t, _ in rows if t and i for a, b in S.sentence_spans(t)}
-    for size in (S.CHUNK_CHARS, 500):
+    for size in (S.CHUNK_CHARS, 500, 12):
         assert {tuple(r) for r in S.sentences(df, size=size).collect()} == expected
     assert S.sentences(df.limit(0)).count() == 0
