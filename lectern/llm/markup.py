@@ -76,20 +76,25 @@ _HEADING_TAGS = frozenset(f"h{n}" for n in range(1, 7))
 
 
 class _Events(HTMLParser):
-    """Structure and tag events of one record."""
+    """Structure and tag events of one record, each with its line; ``tags`` holds (number of tags, characters in them) by line."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=False)
         self.found: list[tuple[int, int, str]] = []
-        self.tags = 0
+        self.tags: dict[int, list[int]] = {}
+
+    def _tag(self, size: int) -> None:
+        held = self.tags.setdefault(self.getpos()[0], [0, 0])
+        held[0] += 1
+        held[1] += size
 
     def handle_starttag(self, tag: str, attrs) -> None:
-        self.tags += 1
+        self._tag(len(self.get_starttag_text() or ""))
         if tag in _HEADING_TAGS or tag == "li":
             self.found.append((*self.getpos(), "list_item" if tag == "li" else "heading"))
 
     def handle_endtag(self, tag: str) -> None:
-        self.tags += 1
+        self._tag(len(tag) + 3)
 
     def set_cdata_mode(self, elem, **more) -> None:
         """Opaque elements are cut out already; a stray script or style tag must not swallow the rest."""
@@ -184,9 +189,9 @@ def line_units(masked: str) -> tuple[list[tuple[int, str]], list[tuple[int, int]
 
 
 class Parsed:
-    """Regions, structure units (offset, kind) in reading order, and whether there is any markup."""
+    """Regions, structure units (offset, kind) in reading order, tags by line, and whether there is any markup."""
 
-    __slots__ = ("regions", "masked", "units", "markup")
+    __slots__ = ("regions", "masked", "units", "tags", "markup")
 
     def __init__(self, text: str):
         self.regions = _regions(text)
@@ -201,6 +206,7 @@ class Parsed:
             lines, _, rule = line_units(masked)
             units += [(a, "code_block") for a, _ in code]
         units += lines
+        self.tags: dict[int, list[int]] = {}
         if "<" in masked:
             events = _Events()
             try:
@@ -208,6 +214,7 @@ class Parsed:
                 events.close()
             except AssertionError:  # the parser's own check on broken declarations
                 pass
+            self.tags = events.tags
             if events.found:
                 starts = [0]
                 for line in masked.split("\n"):
@@ -280,15 +287,16 @@ _DENSE = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4
 _SENTENCE = re.compile(r"\w+\W+\w+\W+\w+[^\n]*[.!?。！？।؟]|\w{3,}\W+\w+\W+\w+\W+\w+\W+\w+" + f"|{_DENSE}{{5,}}[^\\n]*[.!?。！？]|{_DENSE}{{10,}}")
 
 
-def content_lines(masked: str) -> list[bool]:
-    """For each line, whether it belongs to a content region by its smoothed text-to-tag ratio. Without tags all do."""
-    lines = masked.split("\n")
-    ratios = []
-    for line in lines:
-        tags = _TAG.findall(line)
-        ratios.append((len(line.strip()) - sum(map(len, tags))) / max(1, len(tags)))
-    if not any("<" in line for line in lines):
+def content_lines(parsed: Parsed) -> list[bool]:
+    """For each line, whether it belongs to a content region by its smoothed text-to-tag ratio; the tags are the parser's events.
+    Without tags all lines do."""
+    lines = parsed.masked.split("\n")
+    if not parsed.tags:
         return [True] * len(lines)
+    ratios = []
+    for no, line in enumerate(lines, 1):
+        tags, signs = parsed.tags.get(no, (0, 0))
+        ratios.append(max(0, len(line.strip()) - signs) / max(1, tags))
     soft = smoothed(ratios)
     border = threshold(soft) / 2
     return [s >= border or r >= border for s, r in zip(soft, ratios)]
@@ -370,7 +378,7 @@ def clean_text(text: str | None) -> tuple[str, dict[str, int], int, int]:
     lines_in = parsed.masked.count("\n") + 1
     if not parsed.markup:
         return text.strip(), counts, lines_in, lines_in
-    content = content_lines(parsed.masked)
+    content = content_lines(parsed)
     at_line = {parsed.masked.count("\n", 0, at): kind for at, kind in reversed(parsed.units)}
     kept, body = [], []
     at = 0
@@ -380,7 +388,7 @@ def clean_text(text: str | None) -> tuple[str, dict[str, int], int, int]:
         at = end
     body.append(text[at:])
     lines = "".join(body).split("\n")
-    keep = [content[no] or no in at_line or not line.strip() or not _TAG.search(line) or bool(_SENTENCE.search(_TAG.sub(" ", line))) or "\x02" in line for no, line in enumerate(lines)]
+    keep = [content[no] or no in at_line or not line.strip() or no + 1 not in parsed.tags or bool(_SENTENCE.search(_TAG.sub(" ", line))) or "\x02" in line for no, line in enumerate(lines)]
     titles = {no for no, (a, b) in enumerate(zip(lines, lines[1:])) if a.strip() and _SETEXT.match(b) and no in at_line}
     out = []
     for no, line in enumerate(lines):

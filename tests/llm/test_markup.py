@@ -67,3 +67,12 @@ def test_short_plain_lines_stay_in_mixed_records():
     assert all(line.strip(" |").split(" | ")[0] in clean for line in short)
     tagged = "\n".join([long] * 6 + ["<i>座椅导轨的扭矩在冷浸期间</i><b>过</b><i>高</i>"] * 3 + [long] * 6)
     assert "座椅导轨的扭矩在冷浸期间" in markup.clean_text(tagged)[0]
+
+
+def test_menus_go_by_ratio_alone(monkeypatch):
+    prose = "<p>The bench crew saw a torque peak on the seat rail during the cold soak, and it went on for an hour.</p>"
+    menu = "<a href='a'>Home</a> <a href='b'>Shop</a> <a href='c'>Help</a> <a href='d'>Jobs</a>"
+    text = "\n".join([menu] * 9 + [prose] * 6 + [menu] * 9)
+    assert markup.clean_text(text)[0].count("Home") <= 4 and markup.clean_text(text)[0].count("torque peak") == 6
+    monkeypatch.setattr(markup, "content_lines", lambda parsed: [True] * 24)
+    assert markup.clean_text(text)[0].count("Home") == 18

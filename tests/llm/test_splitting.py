@@ -99,3 +99,19 @@ def test_boundaries_anywhere_in_the_span_are_used(spark):
     texts = spark.createDataFrame([("k", text, len(text), 100, 0)], "chunk_id string, content_text string, n_chars int, limit_chars int, overlap_chars int")
     got = [(r.end_char, r.cut_kind) for r in splitting.pieces(texts).orderBy("piece_no").collect()]
     assert got == [(42, "paragraph"), (140, "line"), (210, "end")]
+
+
+def test_files_by_byte_ranges_equal_texts_at_hand(spark, tmp_path):
+    rng = random.Random(3)
+    words = ["torque", "Dichtung", "座席轨道", "แรงบิด", "naïve", "🙂", "e\u0301", "क्षमता", "x" * 90]
+    bodies = ["".join(rng.choice(words) + rng.choice([" ", ". ", "\n", "\n\n", "。", ""]) for _ in range(n)) for n in (900, 40, 3)] + ["", "y" * 700]
+    for no, body in enumerate(bodies):
+        (tmp_path / f"{no}.txt").write_bytes(body.encode())
+    files = spark.read.format("binaryFile").load(str(tmp_path)).select("path", "length")
+    limit, overlap = 120, 30
+    texts = spark.createDataFrame([(str(no), body, limit, overlap) for no, body in enumerate(bodies) if body], "chunk_id string, content_text string, limit_chars int, overlap_chars int")
+    columns = ("piece_no", "start_char", "end_char", "overlap_chars", "cut_kind", "piece_text")
+    wanted = {(r.chunk_id, *(r[c] for c in columns)) for r in splitting.pieces(texts).collect()}
+    for range_bytes in (64, 1_000, 1_000_000):
+        got = {(r.path.rpartition("/")[2][:-4], *(r[c] for c in columns)) for r in splitting.split_files(files, limit, overlap, range_bytes).collect()}
+        assert got == wanted
