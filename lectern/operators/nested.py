@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.plans.lineage import shared_folder
+
 #: Tag of objects that carry the record's id field, and of the outermost object where it has none.
 NODE, RECORD = "node", "record"
 
@@ -108,11 +111,9 @@ def _decode_deep(text: str):
 def parse_record(text: str | None):
     """The JSON value of ``text``, or None where it is null, blank, cut off or otherwise not valid JSON.
 
-    A record encoded once more as a JSON string counts like the record itself; any depth of nesting is read.
+    A record encoded once more as a JSON string, however often, counts like the record itself; any depth of nesting is read.
     """
-    for _ in range(4):
-        if not isinstance(text, str) or not text:
-            return text if isinstance(text, (dict, list)) else None
+    while isinstance(text, str):
         try:
             text = _decode(text)
         except RecursionError:
@@ -122,7 +123,7 @@ def parse_record(text: str | None):
                 return None
         except ValueError:
             return None
-    return None
+    return text if isinstance(text, (dict, list)) else None
 
 
 def visit(value, id_field: str) -> Iterator[tuple]:
@@ -223,29 +224,8 @@ def emit_tagged(df: DataFrame, key: str, text: str, kind: str, id_field: str) ->
     return _records(df, key, text, kind).mapInArrow(run, TAGGED)
 
 
-def emit_links(df: DataFrame, key: str, text: str, kind: str, id_field: str) -> DataFrame:
-    """Only the node tag's keys of the same visit: (record_kind, record_id, node_id, parent_id), distinct within a record."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, nodes, parents = [], [], []
-            for record_id, record in zip(batch.column(1).to_pylist(), batch.column(2)):
-                value = parse_record(record.as_py())
-                if value is None:
-                    continue
-                links = dict.fromkeys((met[3], met[4]) for met in visit(value, id_field) if met[0] == NODE and met[3] is not None)
-                ids += [record_id] * len(links)
-                nodes += [n for n, _ in links]
-                parents += [p for _, p in links]
-            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(ids), pa.string()), pa.array(ids, pa.int64()), pa.array(nodes, pa.string()), pa.array(parents, pa.string())], names=["record_kind", "record_id", "node_id", "parent_id"])
-
-    return _records(df, key, text, kind).mapInArrow(run, "record_kind string, record_id bigint, node_id string, parent_id string")
-
-
-def node_links(masters: DataFrame, exports: DataFrame) -> DataFrame:
-    """Links of both kinds of record as a set: a repeated delivery and a node_id met twice under one parent count once."""
-    links = emit_links(masters, "artifact_id", "master_json", "master", "node_id").unionByName(emit_links(exports, "extraction_id", "exported", "exported", "self_ref"))
-    return links.distinct()
+#: The columns of every flat table beside its payload's fields.
+KEYS = ("record_kind", "record_id", "row_no", "parent_row", "id", "parent_id", "field", "position", "depth")
 
 
 def write_tables(tagged: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -256,23 +236,42 @@ def write_tables(tagged: DataFrame, path: str, mode: str = "errorifexists") -> N
 def flat_table(tagged: DataFrame, tag: str, schema: T.StructType | str) -> DataFrame:
     """The rows of one tag with their payload in typed columns; a field of another type than its column becomes null."""
     fields = F.from_json("payload", schema)
-    keys = ["record_kind", "record_id", "row_no", "parent_row", "id", "parent_id", "field", "position", "depth"]
-    return tagged.where(F.col("tag") == tag).select(*keys, fields.alias("_f")).select(*keys, "_f.*")
+    return tagged.where(F.col("tag") == tag).select(*KEYS, fields.alias("_f")).select(*KEYS, "_f.*")
+
 
+#: Schemas of the flat tables that queries read, by tag; tables without one keep their payload as JSON.
+SCHEMAS = {
+    NODE: "node_type string, label string, title string, text string, confidence string, level string, page_number string",
+    "provenance": "document_id string, page string, sheet string, cell_range string",
+    "attributes": "semantic_type string, requires_review boolean, retrieval_allowed boolean",
+}
 
-NODE_SCHEMA = "node_type string, label string, title string, text string, confidence string, level string, page_number string"
+
+def flattened(masters: DataFrame, exports: DataFrame) -> DataFrame:
+    """The tagged rows of both kinds of record, written partitioned by kind and tag and read back: a query of one flat table
+    reads that table's folder alone. A repeated delivery's rows are still there twice; ``row_no`` tells rows apart."""
+    tagged = emit_tagged(masters, "artifact_id", "master_json", "master", "node_id").unionByName(emit_tagged(exports, "extraction_id", "exported", "exported", "self_ref"))
+    spark = masters.sparkSession
+    path = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    write_tables(tagged, path)
+    return spark.read.schema(TAGGED).parquet(path)
+
+
+def node_links(masters: DataFrame, exports: DataFrame) -> DataFrame:
+    """(record_kind, record_id, node_id, parent_id) from the written node table, as a set: a repeated delivery and a node_id met
+    twice under one parent count once."""
+    nodes = flattened(masters, exports).where(F.col("tag") == NODE)
+    return nodes.select("record_kind", "record_id", F.col("id").alias("node_id"), "parent_id").distinct()
 
 
 def nodes_flat(masters: DataFrame, exports: DataFrame) -> DataFrame:
     """The typed node table of both kinds of record, one row per object with an id, with its link to its parent."""
-    tagged = emit_tagged(masters, "artifact_id", "master_json", "master", "node_id").unionByName(emit_tagged(exports, "extraction_id", "exported", "exported", "self_ref"))
-    flat = flat_table(tagged, NODE, NODE_SCHEMA)
+    flat = flat_table(flattened(masters, exports), NODE, SCHEMAS[NODE])
     return flat.select("record_kind", "record_id", "row_no", "parent_row", F.col("id").alias("node_id"), "parent_id", "field", "position", "depth", F.coalesce("node_type", "label").alias("node_type"), "title", "text", F.expr("try_cast(trim(confidence) as double)").alias("confidence")).dropDuplicates(["record_kind", "record_id", "row_no"])
 
 
 def table_sizes(masters: DataFrame, exports: DataFrame) -> DataFrame:
     """Rows and records of every flat table: (record_kind, tag, n_rows, n_records), repeated deliveries counted once."""
-    tagged = emit_tagged(masters, "artifact_id", "master_json", "master", "node_id").unionByName(emit_tagged(exports, "extraction_id", "exported", "exported", "self_ref"))
-    once = tagged.select("record_kind", "record_id", "row_no", "tag").dropDuplicates(["record_kind", "record_id", "row_no"])
+    once = flattened(masters, exports).select("record_kind", "record_id", "row_no", "tag").dropDuplicates(["record_kind", "record_id", "row_no"])
     by_record = once.groupBy("record_kind", "tag", "record_id").agg(F.count("*").alias("n"))
     return by_record.groupBy("record_kind", "tag").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_records"))

@@ -12,15 +12,24 @@ BROADCAST_ROWS = 20_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The folder the cluster names in ``spark.checkpoint.dir``. Where that is unset a temporary one serves local sessions, as in
+    tests; on a cluster its absence is an error, since a folder of one machine can't be shared."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if current:
         return current
-    folder = named or tempfile.mkdtemp(prefix="lectern-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="lectern-checkpoint-")
     context.setCheckpointDir(folder)
-    return folder
+    return context.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Where tables that outlive a lost executor are written: the checkpoint folder."""
+    return ensure_checkpoint_dir(spark)
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:

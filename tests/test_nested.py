@@ -6,7 +6,7 @@ from lectern.operators import nested
 def test_invalid_and_encoded_records():
     good = {"node_id": "a", "children": {"node_id": 5, "x": [{"node_id": None, "y": [{"node_id": "c"}]}]}}
     text = json.dumps(good)
-    for form in (text, "\n  " + text + "  ", json.dumps(good, indent=1), json.dumps(text)):
+    for form in (text, "\n  " + text + "  ", json.dumps(good, indent=1), json.dumps(text), json.dumps(json.dumps(json.dumps(json.dumps(text))))):
         links = [(m[3], m[4]) for m in nested.visit(nested.parse_record(form), "node_id") if m[3] is not None]
         assert links == [("a", ""), ("5", "a"), ("c", "5")]
     for form in (None, "", " ", text[:-3], "nonsense", '{"a": NaN}', '{"a": 1,}', '"just text"', "7"):
@@ -32,9 +32,20 @@ def test_tables_keep_links(spark, tmp_path):
     nested.write_tables(tagged, str(tmp_path / "tables"))
     prov = nested.flat_table(spark.read.parquet(str(tmp_path / "tables")), "prov", "p string")
     assert sorted(r.p for r in prov.collect()) == ["1", "2"]
-    links = nested.emit_links(df, "artifact_id", "master_json", "master", "node_id").distinct()
-    assert {(r.node_id, r.parent_id) for r in links.collect()} == {("r", ""), ("x", "r")}
-    assert nested.emit_links(df.limit(0), "artifact_id", "master_json", "master", "node_id").count() == 0
+    exports = spark.createDataFrame([(5, '{"self_ref": "#/a", "children": [{"self_ref": "#/b"}]}', 1)], "extraction_id bigint, exported string, tag int")
+    links = nested.node_links(df, exports)
+    assert {tuple(r) for r in links.collect()} == {("master", 1, "r", ""), ("master", 1, "x", "r"), ("exported", 5, "#/a", ""), ("exported", 5, "#/b", "#/a")}
+    assert nested.node_links(df.limit(0), exports.limit(0)).count() == 0
+    assert {(r.tag, r.n_rows) for r in nested.table_sizes(df, exports).collect()} == {("node", 3), ("meta", 1), ("prov", 2), ("node", 2)}
+
+
+def test_links_come_from_the_written_table(spark, monkeypatch):
+    df = spark.createDataFrame([(1, '{"node_id": "r"}')], "artifact_id bigint, master_json string")
+    none = spark.createDataFrame([], "extraction_id bigint, exported string")
+    written = []
+    plain = nested.write_tables
+    monkeypatch.setattr(nested, "write_tables", lambda tagged, path, mode="errorifexists": (written.append(path), plain(tagged.limit(0), path, mode)))
+    assert nested.node_links(df, none).count() == 0 and len(written) == 1
 
 
 def test_payload_keeps_lists_of_lists_and_mixed_lists():
