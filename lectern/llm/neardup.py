@@ -12,8 +12,9 @@ the share of differing bits estimates half the Jaccard distance). The sketches o
 adders into vertical counters, and a block is abandoned as soon as all its lanes exceed the radius. The radius lies seven
 standard deviations beyond the mean of a pair just similar enough. Pairs that stay are verified exactly on their sets.
 
-A prefix element that very many different texts share is salted: its texts are split into parts and every pair of parts
-becomes a block of its own, so nothing is capped and no task gets an unbounded block.
+A prefix element that very many different texts share is salted: its texts are counted exactly and split into parts, and
+every pair of parts becomes a block of its own, so nothing is capped and no task gets an unbounded block. Hub nodes of the
+components and classes of very many copies are left to salts of their own and to the adaptive skew join.
 """
 
 from __future__ import annotations
@@ -28,15 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.plans.lineage import cut
+from lectern.plans.lineage import broadcast_checked, cut
 
 #: Words of a shingle and the least similarity of p4_found (fixed by the problem); the general default is five words, 0.8.
 WORDS, SIMILARITY = 3, 0.7
 PLANES = 128
-#: Buckets of the frequency table: 4 MB in all, whatever the size of the corpus.
+#: Buckets of the frequency table: 8 MB in all, whatever the size of the corpus.
 BUCKETS, SLICES = 1 << 20, 256
-#: Texts that a prefix element may have in one block before it is salted.
-BLOCK_TEXTS = 4096
+#: Texts that a prefix element may have in one block before it is salted, and copies of a text that meet in one.
+BLOCK_TEXTS, BLOCK_COPIES = 4096, 2048
 #: The label before the text in embedding_text.
 _LABEL = re.compile(r"(?:^|\n)Content: ")
 _WORD = re.compile(r"[^\W_]+")
@@ -279,27 +280,28 @@ def frequencies(texts: DataFrame, words: int = WORDS) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for no, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = np.frombuffer(counts.as_buffer(), np.uint32)
-                sums[no] = sums[no] + own if no in sums else own.copy()
+                own = np.frombuffer(counts.as_buffer(), np.uint32).astype(np.uint64)
+                sums[no] = sums[no] + own if no in sums else own
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["slice", "counts"])
 
     schema = "slice int, counts binary"
-    rows = texts.mapInArrow(count, schema).repartition(8, "slice").mapInArrow(add, schema).collect()
-    total = np.zeros(BUCKETS, np.uint32)
+    parts = min(SLICES, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = texts.mapInArrow(count, schema).repartition(parts, "slice").mapInArrow(add, schema).collect()
+    total = np.zeros(BUCKETS, np.uint64)
     for row in rows:
-        total[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(bytes(row["counts"]), np.uint32)
+        total[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(bytes(row["counts"]), np.uint64)
     return total
 
 
 def signatures(texts: DataFrame, counts: np.ndarray, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
-    """One row per text with at least one shingle: (chunk_id, sig, size, s0, s1, prefix). The sketch and prefix stand only
-    with the first text of a class in each partition; prefix elements are salted already where they are shared by many."""
-    sent = texts.sparkSession.sparkContext.broadcast(counts)
+    """One row per text with at least one shingle: (chunk_id, sig, size, s0, s1, prefix, often). The sketch and prefix stand only
+    with the first text of a class in each partition; ``often`` are the prefix elements that very many texts may share, as
+    their bucket holds that many."""
+    sent, most = texts.sparkSession.sparkContext.broadcast(counts), BLOCK_TEXTS
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, hashes, seen = sent.value, _Hashes(), set()
-        usual = int(table.mean()) * 2
         for batch in batches:
             elements, offsets = shingle_sets(_bodies(batch), hashes, words)
             sizes = np.diff(offsets)
@@ -314,6 +316,7 @@ def signatures(texts: DataFrame, counts: np.ndarray, similarity: float = SIMILAR
                     fresh[at] = True
             chosen = np.flatnonzero(fresh)
             prefixes: list = [None] * len(sizes)
+            crowded: list = [None] * len(sizes)
             sketch = np.zeros((len(sizes), PLANES // 64), np.uint64)
             if len(chosen):
                 part = np.concatenate([elements[offsets[i] : offsets[i + 1]] for i in chosen])
@@ -326,26 +329,29 @@ def signatures(texts: DataFrame, counts: np.ndarray, similarity: float = SIMILAR
                 first = order[rank < prefix_length(sizes[chosen], similarity)[doc]]
                 cuts = np.cumsum(prefix_length(sizes[chosen], similarity))[:-1]
                 for at, own in zip(chosen, np.split(first, cuts)):
-                    keys = part[own]
-                    parts = np.maximum(1, -(-(often[own].astype(np.int64) - usual) // BLOCK_TEXTS))
-                    if (parts > 1).any():
-                        keys = np.concatenate([_salted(k, int(n), int(sig[at])) for k, n in zip(keys, parts)])
-                    prefixes[at] = keys.view(np.int64)
+                    prefixes[at] = part[own].view(np.int64)
+                    crowd = often[own] > most
+                    if crowd.any():
+                        crowded[at] = part[own[crowd]].view(np.int64)
             where = pa.array(np.flatnonzero(keep))
-            columns = [batch.column("chunk_id"), pa.array(sig.view(np.int64)), pa.array(sizes.astype(np.int32)), pa.array(sketch[:, 0].view(np.int64)), pa.array(sketch[:, 1].view(np.int64)), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([c.take(where) for c in columns], names=["chunk_id", "sig", "size", "s0", "s1", "prefix"])
+            columns = [batch.column("chunk_id"), pa.array(sig.view(np.int64)), pa.array(sizes.astype(np.int32)), pa.array(sketch[:, 0].view(np.int64)), pa.array(sketch[:, 1].view(np.int64)), pa.array(prefixes, pa.list_(pa.int64())), pa.array(crowded, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([c.take(where) for c in columns], names=["chunk_id", "sig", "size", "s0", "s1", "prefix", "often"])
 
-    return texts.mapInArrow(run, "chunk_id string, sig bigint, size int, s0 bigint, s1 bigint, prefix array<bigint>")
+    return texts.mapInArrow(run, "chunk_id string, sig bigint, size int, s0 bigint, s1 bigint, prefix array<bigint>, often array<bigint>")
 
 
-def _salted(key: np.uint64, parts: int, sig: int) -> np.ndarray:
-    """The blocks of a shared element that a text goes to: its own part paired with every part."""
-    if parts == 1:
-        return np.array([key], np.uint64)
-    own = sig % parts
-    other = np.arange(parts, dtype=np.uint64)
-    low, high = np.minimum(other, np.uint64(own)), np.maximum(other, np.uint64(own))
-    return _mixed((key ^ (low * _K1)) * _K2 + high * _K3)
+def blocks_of(signed: DataFrame) -> DataFrame:
+    """(key, sig, size, s0, s1): every class in the blocks of its prefix elements. An element of more than ``BLOCK_TEXTS``
+    texts is split: each text goes to the blocks of its own part paired with every part."""
+    postings = signed.where(F.col("prefix").isNotNull()).select(F.explode("prefix").alias("key"), "sig", "size", "s0", "s1")
+    heavy = cut(signed.where(F.col("often").isNotNull()).select(F.explode("often").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_TEXTS).select("key", F.ceil(F.col("n") / BLOCK_TEXTS).cast("int").alias("parts")))
+    if heavy.isEmpty():
+        return postings
+    met = postings.join(broadcast_checked(heavy), "key", "left")
+    own = F.pmod("sig", F.col("parts")).cast("int")
+    spread = met.withColumn("own", own).withColumn("other", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
+    block = F.when(F.col("parts").isNull(), F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+    return spread.select(block.alias("key"), "sig", "size", "s0", "s1")
 
 
 def candidates(signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -377,9 +383,8 @@ def candidates(signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         pairs = block_pairs(key, sig, size, np.stack([s0, s1], 1).view(np.uint64), similarity, most)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["sig_a", "sig_b"])
 
-    postings = signed.where(F.col("prefix").isNotNull()).select(F.explode("prefix").alias("key"), "sig", "size", "s0", "s1")
     parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return postings.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "sig_a bigint, sig_b bigint").distinct()
+    return blocks_of(signed).repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, "sig_a bigint, sig_b bigint").distinct()
 
 
 def class_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
@@ -446,9 +451,11 @@ def similar_pairs(chunks: DataFrame, similarity: float = SIMILARITY, words: int
     a = members.select(F.col("sig").alias("sig_a"), F.col("chunk_id").alias("a"))
     b = members.select(F.col("sig").alias("sig_b"), F.col("chunk_id").alias("b"))
     across = links.select("sig_a", "sig_b").join(a, "sig_a").join(b, "sig_b").where("a <> b").select("a", "b")
-    shared = members.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig")
+    shared = members.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").select("sig", F.ceil(F.col("n") / BLOCK_COPIES).cast("int").alias("parts"))
     copies = members.join(shared, "sig")
-    within = copies.select("sig", F.col("chunk_id").alias("a")).join(copies.select("sig", F.col("chunk_id").alias("b")), "sig").where("a < b").select("a", "b")
+    one = copies.select("sig", F.pmod(F.xxhash64("chunk_id"), F.col("parts")).cast("int").alias("part"), F.col("chunk_id").alias("a"))
+    all_parts = copies.select("sig", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("chunk_id").alias("b"))
+    within = one.join(all_parts, ["sig", "part"]).where("a < b").select("a", "b")
     return across.unionByName(within).select(F.least("a", "b").alias("chunk_id_a"), F.greatest("a", "b").alias("chunk_id_b")).distinct()
 
 
