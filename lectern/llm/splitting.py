@@ -90,7 +90,34 @@ def overlap_start(text: str, cut: int, overlap: int) -> int:
         for met in _CLASSES[RANKS[name]][1].finditer(text, max(0, cut - overlap), cut):
             if cut - overlap <= met.end() < cut:
                 return met.end()
-    start = max(0, cut - overlap)
+    return _unjoined(text, max(0, cut - overlap), cut)
+
+
+_SENTENCE_PARTS = re.compile(r"([.!?…]+)[\"'”’»)\]]*\s+|([。！？｡।؟۔]+)[”’」』）】]*\s*")
+
+
+def overlap_starts(text: str, cuts: list[int], overlap: int) -> list[int]:
+    """:func:`overlap_start` of many cuts, with one look for the sentence ends and blanks of the text."""
+    if overlap <= 0:
+        return list(cuts)
+    marks, ends = [], []
+    for met in _SENTENCE_PARTS.finditer(text):
+        marks.append(met.end(met.lastindex) - 1)
+        ends.append(met.end())
+    blanks = [met.end() for met in _CLASSES[RANKS["space"]][1].finditer(text)]
+    out = []
+    for at in cuts:
+        low = max(0, at - overlap)
+        no = bisect_left(marks, low)
+        if no < len(ends) and ends[no] < at:
+            out.append(ends[no])
+            continue
+        no = bisect_right(blanks, low)
+        out.append(blanks[no] if no < len(blanks) and blanks[no] < at else _unjoined(text, low, at))
+    return out
+
+
+def _unjoined(text: str, start: int, cut: int) -> int:
     while start < cut and start > 0 and _joined(text[start - 1], text[start]):
         start += 1
     return start
@@ -118,14 +145,14 @@ def boundaries(body: str, first: int, last: int, room: int) -> list[tuple[int, i
         for met in pattern.finditer(body):
             if 0 < met.end() < len(body):
                 ranks.setdefault(met.end(), rank)
+    places = sorted(ranks)
     for rank in (RANKS["script"], RANKS["hard"]):  # only where a whole span may hold no better boundary
-        places = sorted(ranks)
         for low, high in zip([-1 - room, *places], [*places, len(body) + room]):
             if high - low > room:
                 for at in range(max(low, first) + 1, min(high, last + 1, len(body))):
                     if at > 0 and not _joined(body[at - 1], body[at]) and (rank == RANKS["hard"] or not _letters(body[at - 1], body[at])):
                         ranks[at] = rank
-    places = sorted(ranks)
+        places = sorted(ranks) if len(ranks) > len(places) else places
     nexts, stack = [len(body) + 2 * room] * len(places), []  # of each boundary the next one that is at least as good
     for no, at in enumerate(places):
         while stack and ranks[at] <= ranks[places[stack[-1]]]:
@@ -171,7 +198,7 @@ def range_table(body: str, first: int, last: int, limit: int, overlap: int) -> t
     """Of the range (first, last] of ``body``: where cuts may fall, where the piece after each would start, the rank of each."""
     overlap, stride, slack = grid(limit, overlap)
     found = boundaries(body, first, last, stride + slack)
-    return [at for at, _ in found], [overlap_start(body, at, overlap) for at, _ in found], [rank for _, rank in found]
+    return [at for at, _ in found], overlap_starts(body, [at for at, _ in found], overlap), [rank for _, rank in found]
 
 
 def find_cuts(texts: DataFrame, key: str = "chunk_id", text: str = "content_text", range_chars: int = RANGE_CHARS) -> DataFrame:

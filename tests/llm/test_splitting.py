@@ -115,3 +115,10 @@ def test_files_by_byte_ranges_equal_texts_at_hand(spark, tmp_path):
     for range_bytes in (64, 1_000, 1_000_000):
         got = {(r.path.rpartition("/")[2][:-4], *(r[c] for c in columns)) for r in splitting.split_files(files, limit, overlap, range_bytes).collect()}
         assert got == wanted
+
+
+@given(st.text("ab .!。”\n é\u0301", max_size=120), st.integers(0, 30))
+@settings(max_examples=300, deadline=None)
+def test_overlap_starts_of_many_cuts(text, overlap):
+    cuts = list(range(1, len(text)))
+    assert splitting.overlap_starts(text, cuts, overlap) == [splitting.overlap_start(text, at, overlap) for at in cuts]
