@@ -48,6 +48,10 @@ def p5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.neighbours(table(spark, folder, "embedded_chunks"))
 
 
+def p5_recall(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.recall(table(spark, folder, "embedded_chunks"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.exact_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
@@ -79,7 +83,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_clean": p1_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_neighbours": p5_neighbours, "p6_found": p6_found, "p6_matches": p6_matches, "p6_documents": p6_documents, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_clean": p1_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_neighbours": p5_neighbours, "p5_recall": p5_recall, "p6_found": p6_found, "p6_matches": p6_matches, "p6_documents": p6_documents, "p7_found": p7_found, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,9 +9,13 @@ nothing: a cosine is at most the sum of table entries plus the length of what th
 wasn't reranked may by that bound still belong to the result, the query is compared with its whole block.
 
 How many cells a query looks into is measured, not assumed: a bounded sample of queries is compared with every vector, and
-the least number of cells that reaches ``AIM`` of their true neighbours is taken. As a block gives its true best, that share
-is the recall of the whole search on the sample. A cell that holds very many vectors or
-queries is split into blocks of bounded size, every block of its vectors meeting every block of its queries.
+the least number of cells that reaches ``AIM`` of their true neighbours is taken. Where only neighbours above a similarity are
+asked for, a query looks into the cells whose border with its own is near: a neighbour at distance r lies beyond a border at
+distance b only if their difference goes that way by b, and in d dimensions it goes r / sqrt(d) that way, give or take. The
+margin is ``SPREAD`` times that, or what the sample's true neighbours need, whichever is more. As a block gives its true best,
+the share of neighbours so reached is the recall of the whole search on the sample; :func:`recall` measures it on other
+queries, over the whole path. A cell that holds very many vectors or queries is split into blocks of bounded size, every block
+of its vectors meeting every block of its queries.
 """
 
 from __future__ import annotations
@@ -29,16 +33,18 @@ from lectern.plans.lineage import cut
 
 #: Bounds of the training sample: vectors, and values in all.
 SAMPLE, SAMPLE_VALUES = 16_384, 16_777_216
-#: Vectors of a cell aimed at, and most cells of a collection.
-CELL, MAX_CELLS = 1_024, 65_536
+#: Vectors of a cell aimed at, and most cells of a collection (their training needs a few vectors of the sample each).
+CELL, MAX_CELLS = 1_024, 4_096
 #: Codebooks, codewords of each, width of the beam, candidates of a block that are reranked.
 BOOKS, WORDS, BEAM, RERANK = 8, 256, 4, 192
 #: More than single precision can err by in a product of unit vectors or in the length of a difference.
 ROUNDING = 1e-4
 #: Vectors and queries of one block.
 BLOCK, QUERIES = 2_048, 8_192
-#: Queries of the recall measurement, and the share of their true neighbours to reach.
-PROBE_QUERIES, AIM = 256, 0.98
+#: Queries of the recall measurement, those where only close neighbours count, and the share of true neighbours to reach.
+PROBE_QUERIES, CLOSE_QUERIES, AIM = 256, 1_024, 0.98
+#: Standard deviations of a near neighbour's offset across a border that a query looks beyond it.
+SPREAD = 2.5
 MAX_COLLECTIONS = 1_000
 #: Neighbours and least similarity of p5_found (fixed by the problem).
 K, SIMILARITY = 10, 0.9
@@ -101,6 +107,27 @@ class Index:
             part = np.broadcast_to(np.arange(many), near.shape)
         return np.take_along_axis(part, np.argsort(-np.take_along_axis(near, part, 1), axis=1, kind="stable"), 1)
 
+    def cells_within(self, x: np.ndarray, margin: float) -> list[np.ndarray]:
+        """Of each vector its own cell, then the others whose border with it is at most ``margin`` away, nearest first."""
+        out = []
+        for part in np.array_split(x.astype(np.float32), max(1, -(-len(x) // 4096))):
+            near = part @ self.cells.T
+            own = near.argmax(1)
+            apart = np.sqrt(np.maximum(0, 2 - 2 * (self.cells[own] @ self.cells.T)))
+            behind = near[np.arange(len(part)), own][:, None] - near
+            rows, cells = np.nonzero(behind <= margin * apart + 1e-6)
+            order = np.lexsort((behind[rows, cells], cells != own[rows], rows))
+            out += np.split(cells[order], np.cumsum(np.bincount(rows, minlength=len(part)))[:-1])
+        return out
+
+    def borders(self, q: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """How far each vector's border with a cell is: 0 for its own."""
+        near = q.astype(np.float32) @ self.cells.T
+        own = near.argmax(1)
+        at = np.arange(len(q))
+        apart = np.sqrt(np.maximum(0, 2 - 2 * (self.cells[own] * self.cells[cells]).sum(1)))
+        return np.where(cells == own, 0, (near[at, own] - near[at, cells]) / np.maximum(apart, 1e-9))
+
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(codes (n, BOOKS), squared norms of the sums): for each vector the best of ``BEAM`` sums of codewords, book by book."""
         codes, norms = [], []
@@ -227,7 +254,7 @@ def _by_collection(batch: pa.RecordBatch, number: dict) -> Iterator[tuple[int, n
 class Collections:
     """The collections of a table of valid vectors, their indexes and the number of cells a query looks into."""
 
-    def __init__(self, vectors: DataFrame, k: int, aim: float = AIM):
+    def __init__(self, vectors: DataFrame, k: int, least: float = -2.0, aim: float = AIM):
         spark = vectors.sparkSession
         counted = vectors.groupBy("model", "width").agg(F.count("*").alias("n")).orderBy("model", "width").limit(MAX_COLLECTIONS + 1).collect()
         if len(counted) > MAX_COLLECTIONS:
@@ -242,64 +269,73 @@ class Collections:
             drawn = own.orderBy("h", "chunk_id").limit(many).collect()
             sample = unit(np.frombuffer(b"".join(bytes(r["vector"]) for r in drawn), np.float32).reshape(len(drawn), row["width"]))
             self.indexes.append(Index.train(sample, min(MAX_CELLS, round(row["n"] / CELL))))
-            queries[no] = ([r["chunk_id"] for r in drawn[:PROBE_QUERIES]], sample[:PROBE_QUERIES])
+            probe = PROBE_QUERIES if least < -1 else CLOSE_QUERIES
+            queries[no] = ([r["chunk_id"] for r in drawn[:probe]], sample[:probe])
         self.shared = spark.sparkContext.broadcast((self.number, self.indexes))
-        self.probes, self.measured = self._measure(vectors, queries, k, aim)
-
-    def _measure(self, vectors: DataFrame, queries: dict, k: int, aim: float) -> tuple[list[int], list[float]]:
-        """For each collection the cells to look into and the recall they reach, from true neighbours of the query sample."""
-        shared, sent = self.shared, vectors.sparkSession.sparkContext.broadcast(queries)
-
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            number, indexes = shared.value
-            best: dict[tuple[int, int], list] = {}
-            for batch in batches:
-                ids = batch.column("chunk_id").to_pylist()
-                for no, rows, x in _by_collection(batch, number):
-                    names, q = sent.value[no]
-                    cell = indexes[no].nearest_cells(x, 1)[:, 0]
-                    cos = q @ x.T
-                    for at, name in enumerate(names):
-                        top = np.argpartition(-cos[at], min(k, len(rows) - 1))[: k + 1]
-                        held = best.setdefault((no, at), [])
-                        held += [(float(cos[at, i]), ids[rows[i]], int(cell[i])) for i in top if ids[rows[i]] != name]
-                        held.sort(reverse=True)
-                        del held[k:]
-            out = [(no, at, c, i, cell) for (no, at), held in best.items() for c, i, cell in held]
-            columns = zip(*out) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.float64(), pa.string(), pa.int32()))], names=["no", "query", "cos", "id", "cell"])
-
-        found = vectors.mapInArrow(run, "no int, query int, cos double, id string, cell int")
-        top = found.withColumn("rank", F.row_number().over(Window.partitionBy("no", "query").orderBy(F.desc("cos"), "id"))).where(F.col("rank") <= k).select("no", "query", "cell").collect()
-        places: dict[int, list[int]] = {no: [] for no in queries}
-        rank = {}
-        for no, (_, q) in queries.items():
-            order = self.indexes[no].nearest_cells(q, len(self.indexes[no].cells))
-            rank[no] = np.argsort(order, axis=1)
-        for row in top:
-            places[row["no"]].append(int(rank[row["no"]][row["query"], row["cell"]]))
-        probes, measured = [], []
-        for no in range(len(self.indexes)):
-            cells = len(self.indexes[no].cells)
-            at = np.sort(places[no])
+        top = true_neighbours(vectors, self.shared, queries, k, least).select("no", "query", "cell").collect()
+        #: Of each collection the number of cells to look into, or the margin, and the recall reached on the sample.
+        self.looks, self.measured = [], []
+        for no, (_, q) in sorted(queries.items()):
+            met = np.array([(r["query"], r["cell"]) for r in top if r["no"] == no], np.int64).reshape(-1, 2)
+            look, reached = self._look(self.indexes[no], q, met[:, 0], met[:, 1], least, aim)
+            self.looks.append(look)
+            self.measured.append(reached)
+
+    def _look(self, index: Index, q: np.ndarray, query: np.ndarray, cell: np.ndarray, least: float, aim: float) -> tuple[int | float, float]:
+        """The number of cells, or where only close neighbours are asked for the margin, and the share of the true neighbours
+        (their queries and cells are given) that it reaches."""
+        if least < -1:
+            rank = np.argsort(index.nearest_cells(q, len(index.cells)), axis=1)[query, cell]
+            at = np.sort(rank)
             need = int(at[min(len(at) - 1, int(np.ceil(aim * len(at))) - 1)]) + 1 if len(at) else 1
-            probes.append(min(cells, max(need, min(cells, 2))))
-            measured.append(float((at < probes[-1]).mean()) if len(at) else 1.0)
-        return probes, measured
+            need = min(len(index.cells), max(need, 2))
+            return need, float((at < need).mean()) if len(at) else 1.0
+        margin = SPREAD * float(np.sqrt((2 - 2 * least) / q.shape[1]))
+        away = index.borders(q[query], cell) if len(query) else np.zeros(0)
+        margin = max(margin, 1.25 * float(away.max(initial=0)))
+        return margin, float((away <= margin).mean()) if len(away) else 1.0
+
+
+def true_neighbours(vectors: DataFrame, shared, queries: dict, k: int, least: float = -2.0) -> DataFrame:
+    """(no, query, cos, id, cell, rank): the k nearest of every vector, of at least ``least``, for a bounded set of queries
+    {collection: (ids, unit vectors)}, each compared with all vectors of its collection; ``cell`` is the neighbour's."""
+    sent = vectors.sparkSession.sparkContext.broadcast(queries)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, indexes = shared.value
+        best: dict[tuple[int, int], list] = {}
+        for batch in batches:
+            ids = batch.column("chunk_id").to_pylist()
+            for no, rows, x in _by_collection(batch, number):
+                names, q = sent.value[no]
+                cell = indexes[no].nearest_cells(x, 1)[:, 0]
+                cos = q @ x.T
+                for at in np.flatnonzero(cos.max(axis=1) >= least):
+                    top = np.argpartition(-cos[at], min(k, len(rows) - 1))[: k + 1]
+                    held = best.setdefault((no, int(at)), [])
+                    held += [(float(cos[at, i]), ids[rows[i]], int(cell[i])) for i in top if cos[at, i] >= least and ids[rows[i]] != names[at]]
+                    held.sort(reverse=True)
+                    del held[k:]
+        out = [(no, at, c, i, cell) for (no, at), held in best.items() for c, i, cell in held]
+        columns = zip(*out) if out else [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.float64(), pa.string(), pa.int32()))], names=["no", "query", "cos", "id", "cell"])
+
+    found = vectors.mapInArrow(run, "no int, query int, cos double, id string, cell int")
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("no", "query").orderBy(F.desc("cos"), "id"))).where(F.col("rank") <= k)
 
 
 def assigned(vectors: DataFrame, collections: Collections) -> DataFrame:
     """(chunk_id, no, vector, code, norm, cells): every vector with its code and the cells it looks into, its own first."""
-    shared, probes = collections.shared, list(collections.probes)
+    shared, looks = collections.shared, list(collections.looks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, indexes = shared.value
         for batch in batches:
             for no, rows, x in _by_collection(batch, number):
                 codes, norms = indexes[no].encode(x)
-                cells = indexes[no].nearest_cells(x, probes[no])
+                cells = list(indexes[no].nearest_cells(x, looks[no])) if isinstance(looks[no], int) else indexes[no].cells_within(x, looks[no])
                 at = pa.array(rows)
-                yield pa.RecordBatch.from_arrays([batch.column("chunk_id").take(at), pa.array(np.full(len(rows), no, np.int32)), batch.column("vector").take(at), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms), pa.array(cells.tolist(), pa.list_(pa.int32()))], names=["chunk_id", "no", "vector", "code", "norm", "cells"])
+                yield pa.RecordBatch.from_arrays([batch.column("chunk_id").take(at), pa.array(np.full(len(rows), no, np.int32)), batch.column("vector").take(at), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms), pa.array([c.tolist() for c in cells], pa.list_(pa.int32()))], names=["chunk_id", "no", "vector", "code", "norm", "cells"])
 
     return vectors.mapInArrow(run, "chunk_id string, no int, vector binary, code binary, norm float, cells array<int>")
 
@@ -321,7 +357,11 @@ def neighbours(embedded: DataFrame, k: int = K, least: float = -2.0) -> DataFram
     """(chunk_id, neighbour_id, similarity, rank): of every valid vector its k most similar of the same model and width,
     those of at least ``least``; ties go to the smaller id. Invalid vectors have no rows."""
     vectors = cut(valid_vectors(embedded))
-    collections = Collections(vectors, k)
+    return _ranked(vectors, Collections(vectors, k, least), k, least).drop("no")
+
+
+def _ranked(vectors: DataFrame, collections: Collections, k: int, least: float) -> DataFrame:
+    """(no, chunk_id, neighbour_id, similarity, rank)."""
     shared = collections.shared
     placed = cut(assigned(vectors, collections))
 
@@ -356,11 +396,11 @@ def neighbours(embedded: DataFrame, k: int = K, least: float = -2.0) -> DataFram
                 rows, columns = np.nonzero((at >= 0) & (cos >= least))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), no, np.int32)), pa.array([ids[i] for i in rows], pa.string()), pa.array([held[1][i] for i in at[rows, columns]], pa.string()), pa.array(cos[rows, columns])], names=names)
 
-    spark = embedded.sparkSession
+    spark = vectors.sparkSession
     sent = _blocks(placed).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").sortWithinPartitions("block", "side")
     found = sent.mapInArrow(run, "no int, chunk_id string, neighbour_id string, similarity double")
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("no", "chunk_id").orderBy(F.desc("similarity"), "neighbour_id")))
-    return ranked.where(F.col("rank") <= k).drop("no")
+    return ranked.where(F.col("rank") <= k)
 
 
 def close_pairs(embedded: DataFrame, k: int = K, least: float = SIMILARITY) -> DataFrame:
@@ -370,3 +410,24 @@ def close_pairs(embedded: DataFrame, k: int = K, least: float = SIMILARITY) -> D
     """
     near = neighbours(embedded, k, least)
     return near.select(F.least("chunk_id", "neighbour_id").alias("chunk_id_a"), F.greatest("chunk_id", "neighbour_id").alias("chunk_id_b")).distinct()
+
+
+def recall(embedded: DataFrame, k: int = K, many: int = PROBE_QUERIES) -> DataFrame:
+    """(embedding_model, width, n_queries, n_true, n_found, recall) over the whole path: of each collection ``many`` queries,
+    drawn by another hash than the training sample, are compared with every vector, and their true neighbours are looked up
+    among the rows that :func:`neighbours` gives. A neighbour as similar as the true k-th counts as found."""
+    vectors = cut(valid_vectors(embedded))
+    collections = Collections(vectors, k)
+    drawn = {}
+    for (model, width), no in collections.number.items():
+        own = vectors.where((F.col("model") == model) & (F.col("width") == width)).select("chunk_id", "vector").orderBy(F.xxhash64("chunk_id", F.lit("held out")), "chunk_id").limit(many).collect()
+        drawn[no] = ([r["chunk_id"] for r in own], unit(np.frombuffer(b"".join(bytes(r["vector"]) for r in own), np.float32).reshape(len(own), width)))
+    spark = vectors.sparkSession
+    names = spark.createDataFrame([(no, at, name) for no, (ids, _) in drawn.items() for at, name in enumerate(ids)], "no int, query int, chunk_id string")
+    true = true_neighbours(vectors, collections.shared, drawn, k).groupBy("no", "query").agg(F.count("*").alias("n_true"), F.min("cos").alias("least"))
+    asked = names.join(true, ["no", "query"])
+    found = _ranked(vectors, collections, k, -2.0).join(F.broadcast(asked), ["no", "chunk_id"]).where(F.col("similarity") >= F.col("least") - 1e-9)
+    counted = found.groupBy("no").agg(F.count("*").alias("n_found"))
+    totals = asked.groupBy("no").agg(F.count("*").alias("n_queries"), F.sum("n_true").alias("n_true"))
+    keys = spark.createDataFrame([(model, width, no) for (model, width), no in collections.number.items()], "embedding_model string, width int, no int")
+    return keys.join(totals, "no").join(counted, "no", "left").select("embedding_model", "width", "n_queries", "n_true", F.coalesce("n_found", F.lit(0)).alias("n_found"), (F.coalesce("n_found", F.lit(0)) / F.col("n_true")).alias("recall"))

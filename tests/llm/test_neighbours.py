@@ -72,3 +72,22 @@ def test_a_block_gives_its_true_best_in_a_hot_group():
             assert (at[held] != own[held, None]).all()
             wanted = best >= least
             assert np.allclose(found[wanted], best[wanted], atol=1e-9) and (found[~wanted] < least).all()
+
+
+def test_margins_reach_close_neighbours_over_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL", 40)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(2000, 32))
+    x = np.concatenate([base, base[:700] + rng.normal(size=(700, 32)) * 0.3]).astype(np.float32)
+    df = spark.createDataFrame([(f"v{i:04}", v.tolist(), "m", 32, 0, 0) for i, v in enumerate(x)], SCHEMA)
+    u = neighbours.unit(x)
+    cos = u @ u.T
+    np.fill_diagonal(cos, -2)
+    wanted = {tuple(sorted((f"v{i:04}", f"v{t:04}"))) for i in range(len(x)) for t in np.argsort(-cos[i])[:10] if cos[i, t] >= 0.9}
+    got = {tuple(r) for r in neighbours.close_pairs(df).collect()}
+    assert got <= wanted and len(got) >= 0.999 * len(wanted) and len(wanted) > 500
+    index = neighbours.Index.train(u, 60)
+    for cells, near in zip(index.cells_within(u, 0.1), index.nearest_cells(u, 60)):
+        assert cells[0] == near[0] and len(set(cells)) == len(cells) < 60
+    measured = neighbours.recall(df, many=64).collect()
+    assert [(r.embedding_model, r.n_queries, r.n_true) for r in measured] == [("m", 64, 640)] and measured[0].recall >= 0.9
