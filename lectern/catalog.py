@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import oracles
+from lectern.functions import compare
 from lectern.functions import text as T
 from lectern.operators import blocks, chunking, enrich, nested, quality, reconcile, registry, retrieval, vectors, workbook
 from lectern.plans.guard import guarded_sql
@@ -66,7 +67,7 @@ def technical_values(spark, folder):
 def text_compared(spark, folder):
     """Each chunk's text against its embedding text and against altered copies of itself."""
     c = table(spark, folder, "chunks").select("chunk_id", "content_text", "embedding_text").distinct()
-    return c.select("chunk_id", T.compared("embedding_text", "content_text").alias("content_in_embedding"), T.compared("content_text", F.upper("content_text")).alias("against_upper"), T.compared("content_text", F.replace(F.col("content_text"), F.lit("1"), F.lit("7"))).alias("against_altered"))
+    return c.select("chunk_id", compare.compared("embedding_text", "content_text").alias("content_in_embedding"), compare.compared("content_text", F.upper("content_text")).alias("against_upper"), compare.compared("content_text", F.replace(F.col("content_text"), F.lit("1"), F.lit("7"))).alias("against_altered"))
 
 
 def headings_and_bullets(spark, folder):
@@ -139,8 +140,8 @@ def measurements(spark, folder):
 
 
 def time_budgets(spark, folder):
-    pages = F.greatest(F.lit(1), F.ceil(F.coalesce("n_chars", F.lit(0)) / 300)).cast("int")
-    return _docs(spark, folder).select("doc_id", T.attempt_seconds(pages).alias("first_s"), T.attempt_seconds(pages, True).alias("first_ocr_s"), T.retry_seconds(T.attempt_seconds(pages)).alias("retry_s"))
+    pages = F.greatest(F.lit(1), F.ceil(F.coalesce("n_chars", F.lit(0)) / 20)).cast("int")
+    return _docs(spark, folder).select("doc_id", pages.alias("pages"), T.attempt_seconds(pages).alias("first_s"), T.attempt_seconds(pages, True).alias("first_ocr_s"), T.retry_seconds(T.attempt_seconds(pages)).alias("retry_s"))
 
 
 # ---- reconciliation ----

@@ -50,39 +50,6 @@ def bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def coverage(primary: Column, other: Column) -> Column:
-    """The share of ``other``'s tokens, as a multiset, that ``primary`` holds; 1 where ``other`` has none."""
-
-    def shared(s: Column) -> Column:
-        times = lambda side, t: F.size(s[side]) - F.size(F.array_remove(s[side], t))
-        held = F.aggregate(F.array_intersect(s["a"], s["b"]), F.lit(0), lambda n, t: n + F.least(times("a", t), times("b", t)))
-        return F.when(F.size(s["b"]) == 0, F.lit(1.0)).otherwise(held / F.size(s["b"]))
-
-    return bound(F.struct(primary.alias("a"), other.alias("b")), shared)
-
-
-def compared(primary: Column | str, other: Column | str) -> Column:
-    """The decision for ``other`` against ``primary``: empty, fallback_only, duplicate, conflict or near_duplicate."""
-
-    def ladder(s: Column) -> Column:
-        return (
-            F.when(s["b"] == "", "empty")
-            .when(s["a"] == "", "fallback_only")
-            .when(s["low_a"] == s["low_b"], "duplicate")
-            .when((s["n"] >= 4) & (s["share"] >= 0.7) & technical_difference(s["values_a"], s["values_b"]), "conflict")
-            .when(F.contains(s["low_a"], s["low_b"]) | (s["share"] >= 0.9), "near_duplicate")
-            .otherwise("fallback_only")
-        )
-
-    def measured(s: Column) -> Column:
-        tokens_b = tokens(s["b"])
-        whole = F.struct(s["a"].alias("a"), s["b"].alias("b"), folded(s["a"]).alias("low_a"), folded(s["b"]).alias("low_b"), F.size(tokens_b).alias("n"), coverage(tokens(s["a"]), tokens_b).alias("share"), technical_values(s["a"]).alias("values_a"), technical_values(s["b"]).alias("values_b"))
-        return bound(whole, ladder)
-
-    plain = F.struct(F.coalesce(normalised(primary), F.lit("")).alias("a"), F.coalesce(normalised(other), F.lit("")).alias("b"))
-    return bound(plain, measured)
-
-
 def column_letters(n: Column) -> Column:
     """1 to A, 26 to Z, 27 to AA, up to three letters."""
     letter = lambda k: F.char(F.lit(65) + k)
@@ -246,10 +213,24 @@ def attempt_seconds(pages: Column, ocr: bool = False, most: int = 900) -> Column
     return F.greatest(F.lit(120), F.least(F.lit(most), 60 + (12 if ocr else 6) * pages))
 
 
-def retry_seconds(first: Column, total: int = 1800, least: int = 300) -> Column:
-    """A retry's budget: twice the first attempt, at least ``least``, within what is left of the total; null if nothing is."""
-    wanted = F.least(F.greatest(F.lit(least), 2 * first), F.lit(total) - first)
-    return F.when(wanted > 0, wanted)
+def retry_seconds(first: Column, elapsed: Column | None = None, total: int = 1800, least: int = 300, most: int = 900) -> Column:
+    """A retry's budget: twice the first attempt's, at least ``least``, at most ``most`` and what is left of ``total`` after
+    ``elapsed`` seconds (the first attempt's budget where not given). Null where that isn't more than the first attempt had."""
+    left = F.greatest(F.lit(0), F.lit(total) - F.ceil(elapsed if elapsed is not None else first)).cast("int")
+    allowed = F.least(F.lit(most), left, F.greatest(F.lit(least), 2 * first))
+    return F.when(allowed > first, allowed)
+
+
+def watchdog_seconds(first: Column, total: int = 1800, grace: int = 120) -> Column:
+    """The outer deadline: both attempts' budgets within the total, and a grace for starting and stopping."""
+    return F.least(F.lit(total), first + F.coalesce(retry_seconds(first, total=total), F.lit(0))) + grace
+
+
+def checked_budgets(base: int = 60, page: int = 6, ocr_page: int = 12, least: int = 120, most: int = 900, total: int = 1800) -> dict[str, int]:
+    """The budget parameters, if all are positive and least <= most <= total; anything else raises."""
+    if min(base, page, ocr_page, least, most, total) <= 0 or not least <= most <= total:
+        raise ValueError("budgets must be positive, and least <= most <= total")
+    return {"base": base, "page": page, "ocr_page": ocr_page, "least": least, "most": most, "total": total}
 
 
 def recognised_text(blocks: Column) -> Column:

@@ -28,17 +28,33 @@ def lines(df: DataFrame, key: str, text: str) -> DataFrame:
     return split.select(key, "line_no", strip.alias("line")).where("line <> ''")
 
 
+#: Parts nodes within a row while they are put together; a line end, so no line holds it.
+_SEAM = "\x1e"
+
+
 def lines_to_nodes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, node_no, node_type, text): headings and bullets are nodes of their own, lines between them one paragraph."""
-    plain = lines(df, key, text).withColumn("n", T.normalised("line"))
-    typed = plain.select(key, "line_no", "line", F.when(T.is_heading("n", True), "title_block").when(T.is_bullet("n", True), "bullet_block").otherwise("paragraph").alias("kind"))
-    order = Window.partitionBy(key).orderBy("line_no")
-    starts = (F.col("kind") != "paragraph") | (F.coalesce(F.lag("kind").over(order), F.lit("")) != "paragraph")
-    grouped = typed.withColumn("group_no", F.sum(starts.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = grouped.groupBy(key, "group_no").agg(F.first("kind").alias("node_type"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), " ").alias("joined"))
-    body = F.when(F.col("node_type") == "title_block", T.heading_text("joined")).when(F.col("node_type") == "bullet_block", T.bullet_text("joined")).otherwise(T.normalised("joined"))
-    kept = merged.select(key, "group_no", "node_type", body.alias("text")).where(F.col("text").isNotNull())
-    return kept.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("group_no")) - 1).alias("node_no"), "node_type", "text")
+    """(key, node_no, node_type, text): headings and bullets are nodes of their own, lines between them one paragraph.
+
+    Everything happens within the row, in the JVM and without a shuffle: lines are typed, joined with a seam wherever a node
+    begins, and cut at the seams.
+    """
+
+    def typed(line: Column) -> Column:
+        return F.struct(F.when(T.is_heading(line, True), "t").when(T.is_bullet(line, True), "b").otherwise("p").alias("k"), line.alias("line"))
+
+    def joined(lines: Column) -> Column:
+        goes_on = lambda x, at: (x["k"] == "p") & (at > 0) & (F.get(lines, at - 1)["k"] == "p")
+        return F.array_join(F.transform(lines, lambda x, at: F.concat(F.when(goes_on(x, at), " ").otherwise(F.concat(F.lit(_SEAM), x["k"])), x["line"])), "")
+
+    def node(part: Column) -> Column:
+        kind, body = F.substring(part, 1, 1), F.substring(part, 2, 2_147_483_647)
+        own = F.when(kind == "t", T.heading_text(body)).when(kind == "b", T.bullet_text(body)).otherwise(T.normalised(body))
+        return F.struct(F.when(kind == "t", "title_block").when(kind == "b", "bullet_block").otherwise("paragraph").alias("node_type"), own.alias("text"))
+
+    lines = F.transform(F.filter(F.transform(F.split(F.col(text), LINE_END), T.normalised), lambda x: x.isNotNull()), typed)
+    parts = F.filter(F.split(T.bound(lines, joined), _SEAM), lambda x: x != "")
+    nodes = F.filter(F.transform(parts, node), lambda n: n["text"].isNotNull())
+    return df.select(F.col(key), F.posexplode(nodes).alias("node_no", "_n")).select(key, "node_no", "_n.node_type", "_n.text")
 
 
 def with_sections(nodes: DataFrame, key: str) -> DataFrame:
@@ -101,5 +117,6 @@ def islands(df: DataFrame, group: list[str], position: str) -> DataFrame:
 
 
 def repeats(df: DataFrame, key: Column, order: list[Column | str]) -> DataFrame:
-    """The second and later rows of each key, with occurrence number. A hot key's rows are ranked by one task, streaming."""
-    return df.withColumn("occurrence", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("occurrence > 1")
+    """The second and later rows of each key, with occurrence number; null keys repeat nothing. A key's rows are ranked by one
+    task, streaming; rows are cut to what the caller selects before, so a hot key costs keys and order columns only."""
+    return df.where(key.isNotNull()).withColumn("occurrence", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("occurrence > 1")

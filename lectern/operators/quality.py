@@ -59,7 +59,12 @@ def cell_is_readable(row: str = "row", col: str = "col", row_span: str = "row_sp
     return F.coalesce((c(row) >= 0) & (c(col) >= 0) & (c(row_span) >= 1) & (c(col_span) >= 1) & (c(row) + c(row_span) <= c(n_rows)) & (c(col) + c(col_span) <= c(n_cols)), F.lit(False))
 
 
+#: Words of a technical context, and signs of an exponent that survived (fixed values).
+QUANTITIES = r"(?i)\b(?:resistivity|conductivity|dielectric|thermal|expansion|coefficient|ohm|volume|surface)\b"
+EXPONENT, DIGIT_RUN = r"10\s*(?:\^|[⁰¹²³⁴⁵⁶⁷⁸⁹])", r"\b10\d{3,}\b"
+
+
 def suspicious_number(text):
-    """A number such as 101122 that has likely lost its exponent's sign, in a text on a physical quantity."""
-    c = F.col(text) if isinstance(text, str) else text
-    return c.rlike(r"(?i)resistivity|resistance|conductivity|viscosity|modulus|ohm") & c.rlike(r"\b10\d{3,}\b") & ~c.rlike(r"10\s*(?:\^|\*\*|e[+-]?)\s*-?\d+")
+    """A run of digits such as 101122 that has likely lost its exponent's sign, in a text on a physical quantity."""
+    c = T.normalised(text)
+    return F.coalesce(c.rlike(QUANTITIES) & ~c.rlike(EXPONENT) & c.rlike(DIGIT_RUN), F.lit(False))

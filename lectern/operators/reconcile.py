@@ -7,24 +7,18 @@ page in ``applyInPandas``; everything else is declarative.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lectern.functions import compare
 from lectern.functions import text as T
 
 # Outcomes that a summary counts, and the gain in text that makes the other side the base.
 OUTCOMES = ("selected_docling", "selected_fallback", "duplicate", "near_duplicate", "fallback_only", "conflict", "conflict_resolved")
 TEXT_GAIN = 1.3
 
-_WORD = re.compile(T.TOKEN)
-_VALUE = re.compile(r"\b(?:[a-z]*\d[\w./-]*|\d+(?:\.\d+)?)\b", re.I)
-
-
 def pair_pages(primary: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer join of scored pages (keys, chars, score, n_tables) with the chosen base: (…, base) is 'docling' or
     'fallback'. The other side wins with clearly more text, or a higher score and at least as many tables."""
@@ -41,47 +35,39 @@ def outcome_summary(events: DataFrame, keys: list[str], decision: str = "decisio
     return events.groupBy(*keys).agg(*[F.count_if(F.col(decision) == name).alias(name) for name in OUTCOMES])
 
 
-def compare_text(primary: str, other: str) -> str:
-    """The decision ladder for one pair, as :func:`lectern.functions.text.compared` gives it for columns."""
-    a, b = " ".join((primary or "").split()), " ".join((other or "").split())
-    if not b:
-        return "empty"
-    if not a:
-        return "fallback_only"
-    low_a, low_b = a.casefold(), b.casefold()
-    if low_a == low_b:
-        return "duplicate"
-    held, wanted = Counter(_WORD.findall(low_a)), Counter(_WORD.findall(low_b))
-    total = wanted.total()
-    share = (held & wanted).total() / total if total else 1.0
-    values_a, values_b = ({v.casefold() for v in _VALUE.findall(x)} for x in (a, b))
-    if total >= 4 and share >= 0.7 and values_a - values_b and values_b - values_a:
-        return "conflict"
-    return "near_duplicate" if low_b in low_a or share >= 0.9 else "fallback_only"
-
-
 def merge_page_text(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """The fold over a page's blocks: columns (keys, base_text, block_no, block_text) to (keys, block_no, decision, accepted).
 
-    Blocks that bring something new (fallback_only or conflict) are accepted and extend what later ones are compared
-    with. A page's blocks are one group; pages spread over all tasks.
+    Blocks that bring something new (fallback_only or conflict) are accepted and extend what later ones are compared with; the
+    counts of that text are kept, so a page costs what its blocks hold. A page's blocks are one group; pages spread over all
+    tasks.
     """
 
     def fold(page: pd.DataFrame) -> pd.DataFrame:
         page = page.sort_values("block_no")
-        known, out = page["base_text"].iloc[0] or "", []
+        known, out = compare.Known(page["base_text"].iloc[0]), []
         for text in page["block_text"]:
-            decision = compare_text(known, text)
-            accepted = decision in ("fallback_only", "conflict")
+            block = compare.measured(text or "")
+            made = known.decide(block)
+            accepted = made in ("fallback_only", "conflict")
             if accepted:
-                known = f"{known}\n{text}".strip()
-            out.append((decision, accepted))
+                known.add(block)
+            out.append((made, accepted))
         return page[[*keys, "block_no"]].assign(decision=[d for d, _ in out], accepted=[a for _, a in out])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.schema.fields if f.name in (*keys, "block_no"))
     return blocks.groupBy(*keys).applyInPandas(fold, f"{fields}, decision string, accepted boolean")
 
 
+def arbitrated(decisions: DataFrame, regions: DataFrame, keys: list[str]) -> DataFrame:
+    """Conflicts settled by the page's raw words: ``decisions`` (keys, block_no, decision, base_text, block_text, box_id) with the
+    text that stands in each box (``regions``: keys, box_id, region_text, as :func:`words_in_box` gives it). Where exactly one
+    side's tokens stand there, the decision becomes conflict_resolved, with the winner 'A' (base) or 'B' (block)."""
+    joined = decisions.join(regions.select(*keys, "box_id", "region_text"), [*keys, "box_id"], "left")
+    won = F.when(F.col("decision") == "conflict", winner(F.coalesce("region_text", F.lit("")), F.col("base_text"), F.col("block_text")))
+    return joined.withColumn("winner", won).withColumn("decision", F.when(F.col("winner").isNotNull(), "conflict_resolved").otherwise(F.col("decision"))).drop("region_text")
+
+
 def compare_cells(primary: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Tables as cells (keys, row, col, text): (keys, decision, conflicts). Cells with blank text don't count; of cells
     that share a coordinate the greatest text does.
@@ -142,3 +128,52 @@ def new_images(existing: DataFrame, found: DataFrame, keys: list[str]) -> DataFr
     fresh = found.withColumn("_key", own).join(existing.withColumn("_key", own).select(*keys, "_key").distinct(), [*keys, "_key"], "left_anti")
     w = Window.partitionBy(*keys, "_key").orderBy("image_id")
     return fresh.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_key")
+
+
+def missing_pages(expected: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """The pages (keys, page_no from 1 to page_count) that an extraction lacks; ``expected``: (keys, page_count)."""
+    every = expected.where(F.col("page_count") >= 1).select(*keys, F.explode(F.sequence(F.lit(1), F.col("page_count").cast("int"))).alias("page_no"))
+    return every.join(found.select(*keys, F.col("page_no").cast("int").alias("page_no")).distinct(), [*keys, "page_no"], "left_anti")
+
+
+def same_page_set(primary: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, route): 'merge' where both extractions report the same pages, else 'native', the other one alone."""
+    a = primary.select(*keys, "page_no").distinct().withColumn("_a", F.lit(1))
+    b = other.select(*keys, "page_no").distinct().withColumn("_b", F.lit(1))
+    met = a.join(b, [*keys, "page_no"], "full_outer").groupBy(*keys).agg(F.bool_and(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("same"))
+    return met.select(*keys, F.when(F.col("same"), "merge").otherwise("native").alias("route"))
+
+
+def matched_images(images: DataFrame, pictures: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, image_id, picture_id): image nodes (image_id, name, left, top, width, height) with the stored picture of the same
+    name and box, or else of the same box; the first picture_id of equals. Boxes are compared as whole numbers."""
+    whole = [F.coalesce(F.col(c).cast("int"), F.lit(0)).alias(f"_{c}") for c in ("left", "top", "width", "height")]
+    box = ["_left", "_top", "_width", "_height"]
+    p = pictures.select(*keys, "picture_id", T.normalised("name").alias("_name"), *whole)
+    exact = p.where(F.col("_name").isNotNull()).groupBy(*keys, "_name", *box).agg(F.min("picture_id").alias("_exact"))
+    loose = p.groupBy(*keys, *box).agg(F.min("picture_id").alias("_loose"))
+    own = images.select(*keys, "image_id", T.normalised("name").alias("_name"), *whole)
+    return own.join(exact, [*keys, "_name", *box], "left").join(loose, [*keys, *box], "left").select(*keys, "image_id", F.coalesce("_exact", "_loose").alias("picture_id"))
+
+
+def zipped_media(images: DataFrame, media: DataFrame, keys: list[str], image_order: str, media_order: str) -> DataFrame:
+    """(image columns, media columns): the n-th image of each document with its n-th medium, null where there is none."""
+    number = lambda df, order: df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+    return number(images, image_order).join(number(media, media_order), [*keys, "_n"], "left").drop("_n")
+
+
+def page_text(page: Column, blocks: Column) -> Column:
+    """A page's own text, or where it is blank that of its blocks (an array) line by line."""
+    joined = F.array_join(F.filter(F.transform(blocks, T.normalised), lambda x: x.isNotNull()), "\n")
+    return F.coalesce(F.when(T.normalised(page).isNotNull(), page), F.nullif(joined, F.lit("")))
+
+
+def has_text_layer(words: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, has_text) of raw words (keys, word): whether any isn't blank."""
+    return words.groupBy(*keys).agg(F.coalesce(F.bool_or(T.normalised("word").isNotNull()), F.lit(False)).alias("has_text"))
+
+
+def pdf_route(available: Column, usable: Column, ocr: Column) -> Column:
+    """Which extractor a paged document goes to: the layout model if there is one and text or OCR to work on."""
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    return F.when(yes(available) & (yes(usable) | yes(ocr)), "layout").otherwise("fallback")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lectern.functions import text as T
 
@@ -41,12 +42,15 @@ def resolve(sources: DataFrame, manifests: DataFrame, keys: list[str]) -> DataFr
 def publish(rows: DataFrame, stored: DataFrame | None, keys: list[str], content: str) -> DataFrame:
     """The rows of an immutable store that are to be written: those whose keys aren't stored yet.
 
-    Equal content is reused; other content under stored keys raises while the rows are written, and unsafe key parts do
-    so too. Rows that repeat a key within ``rows`` count once.
+    Equal content is reused; other content under stored keys, or under one key within ``rows``, raises while the rows are
+    written, and unsafe key parts do so too. Rows that repeat a key and its content count once.
     """
     own = rows.withColumn("artifact_hash", F.concat(F.lit("sha256:"), F.sha2(F.col(content), 256))).dropDuplicates([*keys, "artifact_hash"])
     for key in keys:
         own = own.withColumn(key, F.when(T.is_safe_component(key), F.col(key)).otherwise(F.raise_error(F.concat(F.lit(f"unsafe {key}: "), F.coalesce(F.col(key), F.lit("null"))))))
+    twice = F.min("artifact_hash").over(Window.partitionBy(*keys)) != F.col("artifact_hash")
+    clash = F.raise_error(F.concat(F.lit("two contents under one key: "), F.concat_ws("/", *keys))).cast("boolean")
+    own = own.withColumn("_clash", twice).where(F.when(F.col("_clash"), clash).otherwise(True)).drop("_clash")
     if stored is None:
         return own
     before = stored.select(*keys, F.col("artifact_hash").alias("_stored"))

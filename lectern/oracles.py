@@ -108,14 +108,16 @@ def sql() -> dict[str, str]:
  SELECT extraction_id, part, string_agg(line, chr(10) ORDER BY i) AS section FROM (SELECT *, sum((starts_with(line, '#') AND i > 1)::int) OVER (PARTITION BY extraction_id ORDER BY i) AS part FROM (
   SELECT extraction_id, i, l[i] AS line FROM (SELECT extraction_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT DISTINCT extraction_id, string_split(replace(markdown, chr(13) || chr(10), chr(10)), chr(10)) AS l FROM extraction_results WHERE markdown IS NOT NULL)))) GROUP BY extraction_id, part) WHERE {norm('section')} IS NOT NULL""",
         "markdown_blocks": f"""SELECT extraction_id, i - 1 AS block_no, length(regexp_replace(l[i], '^{_BLANK}+|{_BLANK}+$', '', 'g')) AS n_chars FROM (SELECT extraction_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT DISTINCT extraction_id, string_split(replace(markdown, chr(13) || chr(10), chr(10)), chr(10) || chr(10)) AS l FROM extraction_results WHERE markdown IS NOT NULL)) WHERE {norm('l[i]')} IS NOT NULL""",
-        "duplicate_content": f"SELECT doc_id, k AS occurrence FROM (SELECT doc_id, row_number() OVER (PARTITION BY sha256({fold(norm('text'))}) ORDER BY doc_id) AS k FROM documents WHERE text IS NOT NULL) WHERE k > 1",
+        "duplicate_content": f"SELECT doc_id, k AS occurrence FROM (SELECT doc_id, row_number() OVER (PARTITION BY sha256({fold(norm('text'))}) ORDER BY doc_id) AS k FROM documents WHERE {norm('text')} IS NOT NULL) WHERE k > 1",
         "multiset_difference": f"SELECT {norm('source')} AS source, lang FROM documents EXCEPT ALL SELECT source, lang FROM documents",
         "multiset_intersection": f"SELECT {norm('source')} AS source, lang FROM documents INTERSECT ALL SELECT source, lang FROM documents",
         "missing_tokens": f"SELECT token, a.n - coalesce(b.n, 0) AS missing FROM (SELECT token, count(*) n FROM (SELECT unnest({tokens('embedding_text')}) AS token FROM (SELECT DISTINCT chunk_id, content_text, embedding_text FROM chunks)) GROUP BY token) a LEFT JOIN (SELECT token, count(*) n FROM (SELECT unnest({tokens('content_text')}) AS token FROM (SELECT DISTINCT chunk_id, content_text, embedding_text FROM chunks)) GROUP BY token) b USING (token) WHERE a.n > coalesce(b.n, 0) ORDER BY missing DESC, token LIMIT 20",
         "coverage_by_document": f"SELECT document_id, sum(least(a.n, coalesce(b.n, 0)))::bigint AS covered, sum(a.n)::bigint AS total, round(sum(least(a.n, coalesce(b.n, 0)))::double / sum(a.n), 4) AS share FROM (SELECT document_id, token, count(*) n FROM (SELECT document_id, unnest({tokens('embedding_text')}) AS token FROM (SELECT DISTINCT chunk_id, document_id, content_text, embedding_text FROM chunks)) GROUP BY ALL) a LEFT JOIN (SELECT document_id, token, count(*) n FROM (SELECT document_id, unnest({tokens('content_text')}) AS token FROM (SELECT DISTINCT chunk_id, document_id, content_text, embedding_text FROM chunks)) GROUP BY ALL) b USING (document_id, token) GROUP BY document_id",
         "phrase_matches": f"SELECT doc_id FROM documents WHERE contains(' ' || array_to_string({tokens('text')}, ' ') || ' ', ' torque audit ')",
         "measurements": "SELECT 'kg' AS unit, sum(l_quantity::int)::double AS total, count(*) AS n FROM lineitem",
-        "time_budgets": "SELECT doc_id, greatest(120, least(900, 60 + 6 * p)) AS first_s, greatest(120, least(900, 60 + 12 * p)) AS first_ocr_s, least(greatest(300, 2 * greatest(120, least(900, 60 + 6 * p))), 1800 - greatest(120, least(900, 60 + 6 * p))) AS retry_s FROM (SELECT doc_id, greatest(1, ceil(coalesce(n_chars, 0) / 300.0))::int AS p FROM documents)",
+        "time_budgets": """SELECT doc_id, pages, first_s, first_ocr_s, CASE WHEN retry > first_s THEN retry END AS retry_s FROM (SELECT *, least(900, 1800 - first_s, greatest(300, 2 * first_s)) AS retry
+ FROM (SELECT doc_id, p AS pages, CASE WHEN 60 + 6 * p < 120 THEN 120 WHEN 60 + 6 * p > 900 THEN 900 ELSE 60 + 6 * p END AS first_s, CASE WHEN 60 + 12 * p < 120 THEN 120 WHEN 60 + 12 * p > 900 THEN 900 ELSE 60 + 12 * p END AS first_ocr_s
+ FROM (SELECT doc_id, greatest(1, ceil(coalesce(n_chars, 0) / 20.0))::int AS p FROM documents)))""",
         "page_base": """WITH c AS (SELECT DISTINCT chunk_id, document_id, chunk_type, content_text, embedding_text FROM chunks),
  a AS (SELECT document_id, sum(length(content_text))::bigint AS chars, count(*) AS blocks, count(*) FILTER (chunk_type = 'table_row') AS tables FROM c WHERE content_text IS NOT NULL GROUP BY document_id),
  b AS (SELECT document_id, sum(length(embedding_text))::bigint AS chars, count(*) AS blocks, count(*) FILTER (chunk_type = 'table_row') AS tables FROM c WHERE embedding_text IS NOT NULL GROUP BY document_id)

@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from lectern.functions import compare
 from lectern.functions import text as T
 from lectern.operators import blocks, chunking, enrich, quality, reconcile, registry, retrieval, vectors, workbook
-from lectern.plans.guard import Refused, guarded_sql
+from lectern.plans.guard import Refused, guarded_sql, refused_row, write_log
 from lectern.sources import agents, office
 from lectern.streaming import ingest
 
@@ -43,8 +44,8 @@ PAIRS = [("Maximum operating temperature: 90 C", "maximum  operating temperature
 
 def test_comparison_ladder(spark):
     df = spark.createDataFrame([(a, b) for a, b, _ in PAIRS], "a string, b string")
-    assert [r.d for r in df.select(T.compared("a", "b").alias("d")).collect()] == [d for *_, d in PAIRS]
-    assert [reconcile.compare_text(a, b) for a, b, _ in PAIRS] == [d for *_, d in PAIRS]
+    assert [r.d for r in df.select(compare.compared("a", "b").alias("d")).collect()] == [d for *_, d in PAIRS]
+    assert [compare.decision(a, b) for a, b, _ in PAIRS] == [d for *_, d in PAIRS]
 
 
 def test_pages_tables_boxes(spark):
@@ -98,31 +99,48 @@ def document(*roots, errors=()):
     return {"document_id": "d", "version": "v1", "agent_id": "a", "source_type": "pdf", "metadata": {"title": "T"}, "root_nodes": list(roots), "quality": {"errors": list(errors)}}
 
 
-def test_chunk_building():
-    policy = chunking.Policy()
-    section = node("section", "s1", children=[node("paragraph", "p1", "One."), node("paragraph", "p2", "Two.")])
-    chunks, rejected = chunking.chunk_document(document(section), policy)
-    assert len(chunks) == 1 and chunks[0]["source_node_ids"] == ["p1", "p2"] and chunks[0]["parent_node_id"] == "s1" and not rejected
-    assert chunking.chunk_document(document(section), policy)[0] == chunks
-    assert chunking.chunk_document(document(section, errors=["x"]), policy) == ([], [{"reason": "Document has blocking errors.", "node_id": None, "severity": "error"}])
+def chunked(spark, doc, policy=chunking.Policy()):
+    rows = chunking.chunk_artifacts(spark.createDataFrame([(1, json.dumps(doc))], "artifact_id bigint, master_json string"), policy).collect()
+    return [sorted((r for r in rows if r.kind == k), key=lambda r: (r.parent_node_id or "", r.part_no or 0)) for k in ("chunk", "rejection")]
+
+
+def test_chunk_building(spark):
+    section = node("section", "s1", children=[node("paragraph", "p1", "One.", references=[{"reference_id": "r", "answer_eligible": True}]), node("paragraph", "p2", "Two.", references=[{"reference_id": "r", "answer_eligible": False}])])
+    doc = document(section) | {"security_scope": {"classification": "internal", "allowed_groups": ["g"]}, "source_hash": "h"}
+    chunks, rejected = chunked(spark, doc)
+    assert len(chunks) == 1 and chunks[0].source_node_ids == ["p1", "p2"] and chunks[0].parent_node_id == "s1" and not rejected
+    more = json.loads(chunks[0].metadata)
+    assert more["security_scope"]["allowed_groups"] == ["g"] and more["source_hash"] == "h" and more["breadcrumbs"] == ["T"] and more["references"] == [{"reference_id": "r", "answer_eligible": "false"}] and more["answer_eligible_references"] == []
+    assert [c.chunk_id for c in chunked(spark, doc)[0]] == [chunks[0].chunk_id]
+    chunks, rejected = chunked(spark, document(section, errors=["x"]))
+    assert not chunks and [(r.reason, r.severity) for r in rejected] == [("Document has blocking errors.", "error")]
+    assert len(chunked(spark, document(section, errors=["x"]), chunking.Policy(strict=False))[0]) == 1
     long = node("section", "s1", children=[node("paragraph", "p1", "x" * 70), node("paragraph", "p2", "y" * 70)])
-    chunks, _ = chunking.chunk_document(document(long), chunking.Policy(max_chunk=150, max_overlap=80))
-    assert [c["overlap_node_ids"] for c in chunks] == [[], ["p1"]]
+    assert [c.overlap_node_ids for c in chunked(spark, document(long), chunking.Policy(max_chunk=150, max_overlap=80))[0]] == [[], ["p1"]]
     two = [node("section", s, children=[node("paragraph", "p" + s, "Text.")]) for s in ("s1", "s2")]
-    assert [c["parent_node_id"] for c in chunking.chunk_document(document(*two), policy)[0]] == ["s1", "s2"]
+    assert [c.parent_node_id for c in chunked(spark, document(*two))[0]] == ["s1", "s2"]
     blocked = node("section", "s", children=[node("paragraph", "p", "Hidden."), node("paragraph", "q", "Shown.", reconciliation=[{"decision": "conflict"}]), node("paragraph", "r", "Shown.")])
     blocked["children"][0]["attributes"]["retrieval_allowed"] = False
-    assert [c["source_node_ids"] for c in chunking.chunk_document(document(blocked), policy)[0]] == [["r"]]
+    assert [c.source_node_ids for c in chunked(spark, document(blocked))[0]] == [["r"]]
 
 
-def test_table_chunks():
+def test_table_chunks(spark):
     cells = [node("table_cell", "c1", "ASA"), node("table_cell", "c2", "90 C"), node("table_cell", "c3", "secret", field_policy={"retrieval_allowed": False})]
-    table = node("table", "t", children=[node("table_header", "h", header_rows=[["Material", "Temperature", "Note"]]), node("table_row", "r1", children=cells), node("table_row", "r2", children=cells, retrieval_allowed=False)])
-    chunks, _ = chunking.chunk_document(document(table), chunking.Policy())
-    assert [c["content_text"] for c in chunks] == ["Material: ASA | Temperature: 90 C"] and chunks[0]["chunk_type"] == "table_row"
+    row = node("table_row", "r1", children=cells, row_index=4) | {"provenance": {"page_number": 7}}
+    table = node("table", "t", children=[node("table_header", "h", header_rows=[["Material", "Temperature", "Note"], ["", "peak"]]), row, node("table_row", "r2", children=cells, retrieval_allowed=False), node("table_row", "r3", semantic_text="plain  row")])
+    chunks, _ = chunked(spark, document(table))
+    assert {c.content_text for c in chunks} == {"Material: ASA | Temperature / peak: 90 C", "plain row"} and chunks[0].chunk_type == "table_row"
+    more = json.loads(next(c.metadata for c in chunks if "ASA" in c.content_text))
+    assert (more["page_number"], more["row_index"], more["header_context"], more["field_policies"]) == ("7", "4", ["Material | Temperature | Note", " | peak"], [{"retrieval_allowed": "false"}])
     table["attributes"]["requires_review"] = True
-    assert chunking.chunk_document(document(table), chunking.Policy())[1][0]["node_id"] == "t"
-    assert chunking.split_long("A b. " * 40, 30)[0] == "A b. A b. A b. A b. A b. A b." and all(len(x) <= 10 for x in chunking.split_long("x" * 35, 10))
+    assert [r.parent_node_id for r in chunked(spark, document(table))[1]] == ["t"]
+
+
+def test_piece_spans_and_windows():
+    text = " ".join(["A b."] * 40)
+    assert [text[a:b] for a, b in chunking.piece_spans(text, 30)][0] == "A b. A b. A b. A b. A b. A b." and all(b - a <= 10 for a, b in chunking.piece_spans("x" * 35, 10))
+    assert chunking.piece_spans("", 5) == [] and chunking.windows([], 9, 3) == [] and chunking.windows([50, 1], 9, 3) == [(0, 1, 0), (1, 2, 0)]
+    assert chunking.windows([3, 3, 3, 3], 8, 3) == [(0, 2, 0), (1, 3, 1), (2, 4, 1)]
 
 
 def test_chunks_of_stored_records(spark):
@@ -146,6 +164,8 @@ def test_registry(spark):
     for bad in (("d1", "v1", "changed"), ("../up", "v1", "x")):
         with pytest.raises(Exception, match="stored content differs|unsafe doc"):
             registry.publish(spark.createDataFrame([bad], rows.schema), first, ["doc", "version"], "body").collect()
+    with pytest.raises(Exception, match="two contents"):
+        registry.publish(spark.createDataFrame([("d9", "v1", "a"), ("d9", "v1", "b")], rows.schema), None, ["doc", "version"], "body").collect()
 
 
 def test_vectors(spark):
@@ -248,11 +268,27 @@ def test_guard(spark):
     spark.range(5).createOrReplaceTempView("allowed_t")
     assert guarded_sql(spark, "WITH c AS (SELECT id FROM allowed_t WHERE id > :n) SELECT count(*) AS n FROM c", {"allowed_t"}, args={"n": 1}).result.first().n == 3
     assert guarded_sql(spark, "SELECT * FROM allowed_t", {"allowed_t"}, limit=2).result.count() == 2
-    for bad in ("DROP TABLE allowed_t", "SELECT * FROM other", "INSERT INTO allowed_t VALUES (1)", "SELECT 1; SELECT 2", "CREATE TABLE x AS SELECT 1", "SHOW TABLES", "nonsense", "SELECT * FROM (SELECT * FROM hidden)"):
+    spark.range(1).createOrReplaceTempView("secret")
+    for good in ("SELECT a.id FROM allowed_t a JOIN (SELECT max(id) AS m FROM allowed_t) b ON a.id = b.m WHERE a.id IN (SELECT id FROM allowed_t)", "SELECT id, row_number() OVER (PARTITION BY id % 2 ORDER BY id) AS n FROM allowed_t", "WITH a AS (SELECT 1 AS x), b AS (SELECT x FROM a) SELECT CASE WHEN x > 0 THEN upper('y') END AS y FROM b UNION ALL SELECT 'z'"):
+        assert guarded_sql(spark, good, {"allowed_t"}).result.count() > 0
+    for bad in ("DROP TABLE allowed_t", "SELECT * FROM other", "INSERT INTO allowed_t VALUES (1)", "SELECT 1; SELECT 2", "CREATE TABLE x AS SELECT 1", "SHOW TABLES", "nonsense", "SELECT * FROM (SELECT * FROM hidden)",
+                "WITH secret AS (SELECT * FROM secret) SELECT * FROM secret", "SELECT java_method('java.lang.System', 'getProperty', 'user.home') FROM allowed_t", "SELECT reflect('java.lang.System', 'getProperty', 'user.home')", "SELECT * FROM range(5)", "SELECT * FROM allowed_t.secret",
+                "SELECT * FROM allowed_t WHERE id IN (SELECT id FROM secret)", "SELECT (SELECT max(id) FROM secret)", "SELECT * FROM allowed_t WHERE EXISTS (SELECT 1 FROM secret)", "SELECT * FROM (WITH a AS (SELECT 1) SELECT * FROM a) x JOIN a ON true", "SELECT * FROM parquet.`/tmp/x`", "SELECT explode(array(1)) FROM allowed_t"):
         with pytest.raises(Refused):
             guarded_sql(spark, bad, {"allowed_t"})
 
 
+def test_guard_deadline_and_log(spark, tmp_path):
+    spark.range(5).createOrReplaceTempView("allowed_t")
+    rows, log = guarded_sql(spark, "SELECT id FROM allowed_t", {"allowed_t"}, caller="u").run()
+    assert len(rows) == 5 and (log.status, log.n_rows, log.caller, log.tables) == ("ok", 5, "u", ["allowed_t"])
+    spark.range(0, 400_000_000, 1, 4).selectExpr("id", "xxhash64(id, 1) AS h").createOrReplaceTempView("allowed_big")
+    rows, late = guarded_sql(spark, "SELECT count(*) AS n FROM allowed_big a JOIN allowed_big b ON a.h = b.h", {"allowed_big"}).run(timeout=1)
+    assert not rows and late.status == "timeout"
+    write_log(spark, [log, late, refused_row("DROP TABLE x", "no")], str(tmp_path / "log"))
+    assert sorted(r.status for r in spark.read.parquet(str(tmp_path / "log")).collect()) == ["ok", "refused", "timeout"]
+
+
 def test_agents(spark, tmp_path):
     (tmp_path / "x.yaml").write_text("agent_id: brake-agent\ndisplay_name: 'Brakes'\nui:\n  route: /agents/brake\nraw_folder: raw/x # here\n")
     row = agents.read_agents(spark, str(tmp_path)).first()
