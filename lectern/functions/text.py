@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed values.
 #: Every character that counts as a blank (Java's own class lacks most of them).
-BLANK = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+BLANK = r"[\s\p{Z}\x1c-\x1f\x85]"
 TOKEN = r"[a-z0-9]+(?:[./_-][a-z0-9]+)*"
 TECHNICAL = r"(?iU)\b(?:[a-z]*\d[\w./-]*|\d+(?:\.\d+)?)\b"
 UNITS = ("mm", "cm", "kg", "%", "mpa", "°c")
@@ -20,9 +20,15 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def squeezed(x: Column | str) -> Column:
+    """Runs of blanks to one space, none at the ends."""
+    return F.trim(F.regexp_replace(_c(x), BLANK + "+", " "))
+
+
 def normalised(x: Column | str) -> Column:
-    """Runs of blanks to one space, none at the ends; blank text is null."""
-    return F.nullif(F.regexp_replace(F.regexp_replace(_c(x), BLANK + "+", " "), "^ | $", ""), F.lit(""))
+    """Runs of blanks to one space, none at the ends; blank text is null. Within lambdas :func:`squeezed` is the cheaper form:
+    there a value that is compared and returned is worked out twice."""
+    return F.nullif(squeezed(x), F.lit(""))
 
 
 def folded(x: Column | str) -> Column:
@@ -118,7 +124,7 @@ def is_heading(line: Column | str, plain: bool = False) -> Column:
     def judged(n: Column) -> Column:
         words = F.regexp_replace(n, "^[# ]+", "")
         many = F.when(words == "", 0).otherwise(1 + F.char_length(words) - F.char_length(F.replace(words, F.lit(" "), F.lit(""))))
-        capitals = F.char_length(F.regexp_replace(n, r"[^\p{Lu}]", "")) / F.greatest(F.char_length(n), F.lit(1))
+        capitals = (F.char_length(n) - F.char_length(F.regexp_replace(n, r"\p{Lu}", ""))) / F.greatest(F.char_length(n), F.lit(1))
         return many.between(1, 12) & (F.startswith(n, F.lit("#")) | F.endswith(n, F.lit(":")) | (capitals > 0.45))
 
     if plain:
@@ -143,7 +149,7 @@ def bullet_text(line: Column | str) -> Column:
 
 def inferred_title(text: Column | str, fallback: Column) -> Column:
     """The first heading-like line, else ``fallback``."""
-    lines = F.filter(F.transform(F.split(_c(text), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), normalised), lambda x: x.isNotNull())
+    lines = F.filter(F.transform(F.split(_c(text), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), squeezed), lambda x: x != "")
     return F.coalesce(heading_text(F.get(F.filter(lines, lambda x: is_heading(x, True)), F.lit(0))), fallback)
 
 

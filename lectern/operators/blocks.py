@@ -48,10 +48,10 @@ def lines_to_nodes(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def node(part: Column) -> Column:
         kind, body = F.substring(part, 1, 1), F.substring(part, 2, 2_147_483_647)
-        own = F.when(kind == "t", T.heading_text(body)).when(kind == "b", T.bullet_text(body)).otherwise(T.normalised(body))
+        own = F.when(kind == "t", T.heading_text(body)).when(kind == "b", T.bullet_text(body)).otherwise(body)
         return F.struct(F.when(kind == "t", "title_block").when(kind == "b", "bullet_block").otherwise("paragraph").alias("node_type"), own.alias("text"))
 
-    lines = F.transform(F.filter(F.transform(F.split(F.col(text), LINE_END), T.normalised), lambda x: x.isNotNull()), typed)
+    lines = F.transform(F.filter(F.transform(F.split(F.col(text), LINE_END), T.squeezed), lambda x: x != ""), typed)
     parts = F.filter(F.split(T.bound(lines, joined), _SEAM), lambda x: x != "")
     nodes = F.filter(F.transform(parts, node), lambda n: n["text"].isNotNull())
     return df.select(F.col(key), F.posexplode(nodes).alias("node_no", "_n")).select(key, "node_no", "_n.node_type", "_n.text")

@@ -115,6 +115,13 @@ def sql() -> dict[str, str]:
         "coverage_by_document": f"SELECT document_id, sum(least(a.n, coalesce(b.n, 0)))::bigint AS covered, sum(a.n)::bigint AS total, round(sum(least(a.n, coalesce(b.n, 0)))::double / sum(a.n), 4) AS share FROM (SELECT document_id, token, count(*) n FROM (SELECT document_id, unnest({tokens('embedding_text')}) AS token FROM (SELECT DISTINCT chunk_id, document_id, content_text, embedding_text FROM chunks)) GROUP BY ALL) a LEFT JOIN (SELECT document_id, token, count(*) n FROM (SELECT document_id, unnest({tokens('content_text')}) AS token FROM (SELECT DISTINCT chunk_id, document_id, content_text, embedding_text FROM chunks)) GROUP BY ALL) b USING (document_id, token) GROUP BY document_id",
         "phrase_matches": f"SELECT doc_id FROM documents WHERE contains(' ' || array_to_string({tokens('text')}, ' ') || ' ', ' torque audit ')",
         "measurements": "SELECT 'kg' AS unit, sum(l_quantity::int)::double AS total, count(*) AS n FROM lineitem",
+        "p3_found": r"""
+WITH RECURSIVE r AS (SELECT 'master' AS k, artifact_id AS id, master_json AS j, 'node_id' AS f FROM canonical_artifacts UNION SELECT 'exported', extraction_id, exported, 'self_ref' FROM extraction_results),
+v AS (SELECT k, id, f, CASE WHEN json_type(j) <> 'VARCHAR' THEN j WHEN json_valid(json_extract_string(j, '$')) THEN json_extract_string(j, '$') END AS j FROM r WHERE json_valid(j)),
+t AS MATERIALIZED (SELECT v.k, v.id AS record, e.id AS pos, e.parent AS up, CASE WHEN e.type = 'OBJECT' THEN json_extract_string(e.value, '$.' || v.f) END AS own FROM v, json_tree(v.j) e),
+d AS (SELECT k, record, pos, own, '' AS parent_id, coalesce(own, '') AS below FROM t WHERE up IS NULL
+ UNION ALL SELECT t.k, t.record, t.pos, t.own, d.below, coalesce(t.own, d.below) FROM t JOIN d ON t.k = d.k AND t.record = d.record AND t.up = d.pos)
+SELECT DISTINCT k AS record_kind, record AS record_id, own AS node_id, parent_id FROM d WHERE own IS NOT NULL""",
         "time_budgets": """SELECT doc_id, pages, first_s, first_ocr_s, CASE WHEN retry > first_s THEN retry END AS retry_s FROM (SELECT *, least(900, 1800 - first_s, greatest(300, 2 * first_s)) AS retry
  FROM (SELECT doc_id, p AS pages, CASE WHEN 60 + 6 * p < 120 THEN 120 WHEN 60 + 6 * p > 900 THEN 900 ELSE 60 + 6 * p END AS first_s, CASE WHEN 60 + 12 * p < 120 THEN 120 WHEN 60 + 12 * p > 900 THEN 900 ELSE 60 + 12 * p END AS first_ocr_s
  FROM (SELECT doc_id, greatest(1, ceil(coalesce(n_chars, 0) / 20.0))::int AS p FROM documents)))""",
