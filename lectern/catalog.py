@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lectern import oracles
 from lectern.functions import compare
 from lectern.functions import text as T
-from lectern.operators import blocks, chunking, enrich, nested, quality, reconcile, registry, retrieval, vectors, workbook
+from lectern.operators import assembly, blocks, canonical, chunking, enrich, nested, quality, reconcile, registry, retrieval, vectors, workbook
 from lectern.plans.guard import guarded_sql
 from lectern.sources.tables import table
 from lectern.streaming import ingest
@@ -21,6 +21,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 SEARCHES = (("q1", "torque audit of the busbar"), ("q2", "shaker run gasket leaked"), ("q3", "Dichtung nach dem Lackieren gerissen"))
 
 
+#: For whom the chunk searches are done (a parameter).
+CALLER = retrieval.Caller(("grp-brake", "grp-thermal", "grp-harness"))
+
+
 def _docs(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
@@ -44,6 +48,44 @@ def p3_tables(spark, folder):
     return nested.table_sizes(table(spark, folder, "canonical_artifacts"), table(spark, folder, "extraction_results"))
 
 
+def canonical_nodes(spark, folder):
+    """The nodes of stored documents with their place and what they inherit."""
+    found = canonical.nodes(table(spark, folder, "canonical_artifacts"))
+    return found.select("artifact_id", "ord", "node_id", "parent_ord", "depth", "node_type", "n_children", "blocked", "page_number")
+
+
+def node_inspection(spark, folder):
+    return canonical.inspection(canonical.nodes(table(spark, folder, "canonical_artifacts"))).select("artifact_id", "n_nodes", "n_blocked", "deepest", "pages", "slides", "sheets", "tables")
+
+
+def subtree_flags(spark, folder):
+    return canonical.subtree_flags(canonical.nodes(table(spark, folder, "canonical_artifacts")))
+
+
+def node_references(spark, folder):
+    found = canonical.node_references(canonical.nodes(table(spark, folder, "canonical_artifacts")))
+    return found.select("artifact_id", "ord", "at", "reference_id", "status")
+
+
+def canonical_branches(spark, folder):
+    """Real nodes of all types by branch; table rows stand in two."""
+    return blocks.branches(canonical.nodes(table(spark, folder, "canonical_artifacts"))).groupBy("branch", "node_type").agg(F.count("*").alias("n"))
+
+
+def _elements(spark, folder):
+    return assembly.export_elements(nested.emit_tagged(table(spark, folder, "extraction_results"), "extraction_id", "exported", "exported", "self_ref"))
+
+
+def export_elements(spark, folder):
+    return _elements(spark, folder).select("record_id", "self_ref", "label", "page_no", F.char_length("text").alias("chars"))
+
+
+def missing_pages(spark, folder):
+    """Pages that the exported tree of an extraction has no element of."""
+    expected = table(spark, folder, "extraction_results").select(F.col("extraction_id").alias("record_id"), "page_count").distinct()
+    return reconcile.missing_pages(expected, _elements(spark, folder), ["record_id"]).groupBy("record_id").agg(F.count("*").alias("n_missing"))
+
+
 # ---- text rules ----
 
 
@@ -144,6 +186,14 @@ def time_budgets(spark, folder):
     return _docs(spark, folder).select("doc_id", pages.alias("pages"), T.attempt_seconds(pages).alias("first_s"), T.attempt_seconds(pages, True).alias("first_ocr_s"), T.retry_seconds(T.attempt_seconds(pages)).alias("retry_s"))
 
 
+def suspicious_numbers(spark, folder):
+    """Chunks whose numbers, once their exponent signs are lost, are suspicious in a technical context."""
+    c = table(spark, folder, "chunks").select("chunk_id", "content_text").where(F.col("content_text").isNotNull()).distinct()
+    broken = F.regexp_replace("content_text", r"([0-9]+)", "10$1")
+    word = F.when(F.substring("chunk_id", -1, 1) < "8", F.concat(F.lit("Volume of "), broken)).otherwise(broken)
+    return c.select("chunk_id", quality.suspicious_number(word).alias("is_suspicious"))
+
+
 # ---- reconciliation ----
 
 
@@ -300,7 +350,7 @@ def source_keys(spark, folder):
 
 def vector_topk(spark, folder):
     e = table(spark, folder, "embeddings")
-    return vectors.top_k(e, e.where(F.col("vec_id") % 100 == 0), "vec_id", "embedding", 10).select("query", "vec_id", F.round("similarity", 6).alias("similarity"), "rank")
+    return vectors.top_k(e, e.where(F.col("vec_id") % 100 == 0), "vec_id", "embedding", 10, retrieval.unscoped()).select("query", "vec_id", F.round("similarity", 6).alias("similarity"), "rank")
 
 
 def vector_validity(spark, folder):
@@ -328,28 +378,56 @@ def embedded_offline(spark, folder):
 
 def permitted_chunks(spark, folder):
     c = table(spark, folder, "chunks").select("chunk_id", "agent_id", "metadata").distinct()
-    allowed = retrieval.permitted(retrieval.scope_groups(), F.lit(None).cast("array<string>"), ["grp-brake", "grp-thermal"])
-    return c.where(allowed).groupBy("agent_id").agg(F.count("*").alias("n_chunks"))
+    return c.where(retrieval.Caller(("grp-brake", "grp-thermal")).may_read()).groupBy("agent_id").agg(F.count("*").alias("n_chunks"))
 
 
 def bm25_topk(spark, folder):
-    return retrieval.bm25(_docs(spark, folder), "doc_id", "text", _searches(spark), 10).select("query_id", "doc_id", F.round("score", 4).alias("score"))
+    return retrieval.bm25(_docs(spark, folder), "doc_id", "text", _searches(spark), retrieval.unscoped(), 10).select("query_id", "doc_id", F.round("score", 4).alias("score"))
 
 
 def rrf_fusion(spark, folder):
-    body = retrieval.bm25(_docs(spark, folder), "doc_id", "text", _searches(spark), 20)
-    title = retrieval.bm25(_docs(spark, folder), "doc_id", "document_title", _searches(spark), 20)
+    body = retrieval.bm25(_docs(spark, folder), "doc_id", "text", _searches(spark), retrieval.unscoped(), 20)
+    title = retrieval.bm25(_docs(spark, folder), "doc_id", "document_title", _searches(spark), retrieval.unscoped(), 20)
     return retrieval.fused([body, title], "doc_id", 10)
 
 
+def _seeds(spark, folder):
+    """Three stored chunks with a vector as queries: their text and their vector (the least ids)."""
+    e = table(spark, folder, "embedded_chunks").where((F.col("embedding_model") == "dense-std-64") & vectors.is_valid("embedding", "dimensions")).select("chunk_id", "embedding").dropDuplicates(["chunk_id"])
+    c = table(spark, folder, "chunks").where(F.col("content_text").isNotNull()).select("chunk_id", "content_text").dropDuplicates(["chunk_id"])
+    return e, e.join(c, "chunk_id").orderBy("chunk_id").limit(3)
+
+
+def hybrid_fusion(spark, folder):
+    """Lexical and vector search for the same three queries, for one caller, fused by reciprocal rank."""
+    e, seeds = _seeds(spark, folder)
+    c = table(spark, folder, "chunks").select("chunk_id", "content_text", "metadata").distinct()
+    lexical = retrieval.bm25(c, "chunk_id", "content_text", seeds.select(F.col("chunk_id").alias("query_id"), F.col("content_text").alias("query_text")), CALLER.may_read(), 20)
+    scoped = e.join(c.select("chunk_id", "metadata"), "chunk_id")
+    near = vectors.top_k(scoped, seeds, "chunk_id", "embedding", 20, CALLER.may_read()).select(F.col("query").alias("query_id"), "chunk_id", "rank")
+    return retrieval.hybrid(lexical, near, "chunk_id", 10)
+
+
+def discovered_sources(spark, folder):
+    """Documents of the catalog that share words of their titles with the standing searches."""
+    catalog = _docs(spark, folder).select(F.col("doc_id").alias("source_id"), "agent_id", T.tokens(F.coalesce("document_title", F.lit(""))).alias("terms"))
+    return retrieval.discovered_sources(_searches(spark), catalog)
+
+
+def query_parts(spark, folder):
+    """Evaluation items as questions, two at a time, cut into typed parts."""
+    q = table(spark, folder, "eval_items").where(F.col("text").isNotNull()).select(F.col("item_id").alias("query_id"), F.concat(F.lit("How many parts leaked; compare lot A-1 and lot B-2; "), F.col("item_id").cast("string"), F.lit("? why so")).alias("query_text")).distinct()
+    return retrieval.decomposed(q)
+
+
 def _found_chunks(spark, folder):
-    c = table(spark, folder, "chunks").select("chunk_id", "document_id", "parent_node_id", "chunk_type", "content_text").distinct()
-    return c, retrieval.bm25(c, "chunk_id", "content_text", _searches(spark), 10)
+    c = table(spark, folder, "chunks").select("chunk_id", "document_id", "parent_node_id", "chunk_type", "content_text", "metadata").distinct()
+    return c, retrieval.bm25(c, "chunk_id", "content_text", _searches(spark), CALLER.may_read(), 10)
 
 
 def parent_expansion(spark, folder):
     c, found = _found_chunks(spark, folder)
-    return retrieval.siblings(found, c)
+    return retrieval.siblings(found, c, CALLER.may_read())
 
 
 def context_budget(spark, folder):
@@ -368,8 +446,10 @@ def source_labels(spark, folder):
 
 
 def intents(spark, folder):
-    i = retrieval.default_intent("text")
-    return table(spark, folder, "eval_items").select(i.alias("intent"), retrieval.route(i).alias("route")).groupBy("intent", "route").agg(F.count("*").alias("n"))
+    """Intents of the items' first words, of some of which only small talk or nothing is left."""
+    e = table(spark, folder, "eval_items").select("item_id", F.when(F.col("item_id") % 5 == 0, "Thank you very much").when(F.col("item_id") % 5 == 1, F.substring(T.normalised("text"), 1, 2)).otherwise(F.col("text")).alias("q"))
+    i = retrieval.default_intent("q")
+    return e.select(i.alias("intent"), retrieval.route(i).alias("route")).groupBy("intent", "route").agg(F.count("*").alias("n"))
 
 
 def last_turns(spark, folder):
@@ -436,6 +516,15 @@ def row_texts(spark, folder):
     return workbook.row_texts(cells, ["s_suppkey"])
 
 
+def sheet_rows(spark, folder):
+    """The rows below each sheet region's header, by named column."""
+    return workbook.table_rows(_sheet(spark, folder)).groupBy("sheet_id", "table_name", "column_name", "kind").agg(F.count("*").alias("n"))
+
+
+def workbook_nodes(spark, folder):
+    return workbook.tree("parts.xlsx", _sheet(spark, folder)).groupBy("node_type").agg(F.count("*").alias("n"), F.count_distinct("node_id").alias("n_ids"))
+
+
 def cells_long(spark, folder):
     return _cells(spark, folder).groupBy("column_name", "kind").agg(F.count("*").alias("n"), F.min("value").alias("least"))
 
@@ -478,12 +567,11 @@ def catalog_entries(spark, folder):
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """The passages that best answer the standing searches, for a caller of two groups, within a context budget."""
     c = table(spark, folder, "chunks").select("chunk_id", "document_id", "chunk_type", "content_text", "metadata").distinct()
-    mine = c.where(retrieval.permitted(retrieval.scope_groups(), F.lit(None).cast("array<string>"), ["grp-brake", "grp-thermal", "grp-harness"]))
-    found = retrieval.bm25(mine, "chunk_id", "content_text", _searches(spark), 10)
-    return retrieval.within_budget(found.join(mine.drop("metadata"), "chunk_id"), "content_text", 6000).select("query_id", "rank", "chunk_id", "document_id", "score", "used_chars")
+    found = retrieval.bm25(c, "chunk_id", "content_text", _searches(spark), CALLER.may_read(), 10)
+    return retrieval.within_budget(found.join(c.drop("metadata"), "chunk_id"), "content_text", 6000).select("query_id", "rank", "chunk_id", "document_id", "score", "used_chars")
 
 
-_NAMES = (p3_found, p3_nodes, p3_tables, text_normalised, token_counts, token_topk, technical_values, text_compared, headings_and_bullets, inferred_titles, lines_to_nodes, section_carry_forward, branch_nodes, markdown_sections, markdown_blocks, duplicate_content, multiset_difference, multiset_intersection, missing_tokens, coverage_by_document, phrase_matches, measurements, time_budgets, page_base, page_text_fold, outcome_summary, table_compared, best_overlap, words_in_box, field_policy_cells, reference_registry, visual_assets, quality_issues, quality_status, artifact_chunks, artifact_manifests, chunk_problems, chunk_statistics, context_prefixes, latest_versions, resolved_sources, intact_artifacts, source_keys, vector_topk, vector_validity, vector_payload, unknown_vectors, embedded_offline, permitted_chunks, bm25_topk, rrf_fusion, parent_expansion, context_budget, evidence_checks, source_labels, intents, last_turns, structured_aggregate, structured_filter, structured_join, structured_rollup, structured_page, guarded_statement, sheet_regions, sheet_classes, sheet_headers, row_texts, cells_long, column_names, activity_islands, hourly_events, event_sessions, agent_collections, catalog_entries)
+_NAMES = (p3_found, p3_nodes, p3_tables, canonical_nodes, node_inspection, subtree_flags, node_references, canonical_branches, export_elements, missing_pages, text_normalised, token_counts, token_topk, technical_values, text_compared, headings_and_bullets, inferred_titles, lines_to_nodes, section_carry_forward, branch_nodes, markdown_sections, markdown_blocks, duplicate_content, multiset_difference, multiset_intersection, missing_tokens, coverage_by_document, phrase_matches, measurements, time_budgets, suspicious_numbers, page_base, page_text_fold, outcome_summary, table_compared, best_overlap, words_in_box, field_policy_cells, reference_registry, visual_assets, quality_issues, quality_status, artifact_chunks, artifact_manifests, chunk_problems, chunk_statistics, context_prefixes, latest_versions, resolved_sources, intact_artifacts, source_keys, vector_topk, vector_validity, vector_payload, unknown_vectors, embedded_offline, permitted_chunks, bm25_topk, rrf_fusion, hybrid_fusion, discovered_sources, query_parts, parent_expansion, context_budget, evidence_checks, source_labels, intents, last_turns, structured_aggregate, structured_filter, structured_join, structured_rollup, structured_page, guarded_statement, sheet_regions, sheet_classes, sheet_headers, row_texts, sheet_rows, workbook_nodes, cells_long, column_names, activity_islands, hourly_events, event_sessions, agent_collections, catalog_entries)
 
 
 def queries() -> dict[str, Query]:

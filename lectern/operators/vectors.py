@@ -55,11 +55,13 @@ def with_retries(provider: Provider, retries: int = RETRIES, delay: float = FIRS
     return call
 
 
-def embed(chunks: DataFrame, provider: Provider, model: str, dimensions: int, batch_size: int = BATCH) -> DataFrame:
+def embed(chunks: DataFrame, provider: Provider, model: str, dimensions: int, batch_size: int = BATCH, retries: int = RETRIES, delay: float = FIRST_DELAY) -> DataFrame:
     """(chunk_id, embedding, embedding_model, dimensions) of every chunk with text; blank texts have no row.
 
-    A wrong number of vectors or a wrong width raises. The provider runs per partition, ``batch_size`` texts a call.
+    A wrong number of vectors or a wrong width raises. The provider runs per partition, ``batch_size`` texts a call, and is
+    tried again where it fails; results are taken in the order of the texts.
     """
+    provider = with_retries(provider, retries, delay)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,6 +78,22 @@ def embed(chunks: DataFrame, provider: Provider, model: str, dimensions: int, ba
     return own.select("chunk_id", "embedding_text").mapInArrow(run, "chunk_id string, embedding array<float>, embedding_model string, dimensions int")
 
 
+LINEAGE = ("document_id", "agent_id", "source_type", "source_version", "parent_node_id", "chunk_type")
+
+
+def with_lineage(embedded: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Vectors with ``metadata``, the six lineage fields of their chunks as JSON."""
+    own = chunks.select("chunk_id", F.to_json(F.struct(*LINEAGE)).alias("metadata")).dropDuplicates(["chunk_id"])
+    return embedded.join(own, "chunk_id")
+
+
+def embeddable(chunks: DataFrame) -> DataFrame:
+    """The chunks of records without a rejection of severity error (rows of ``chunking.chunk_artifacts``): a record with one has
+    none of its chunks embedded."""
+    stopped = chunks.where((F.col("kind") == "rejection") & (F.col("severity") == "error")).select("artifact_id").distinct()
+    return chunks.where(F.col("kind") == "chunk").join(stopped, "artifact_id", "left_anti")
+
+
 def is_valid(vector: str, dimensions: str) -> Column:
     """Exactly ``dimensions`` values, none null or not finite, not all zero."""
     v = F.col(vector)
@@ -89,13 +107,15 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, key: str, vector: str, k: int, access: Column) -> DataFrame:
     """(query, key, similarity, rank): the exact k most similar vectors of each query, itself excluded; ties by key.
 
+    ``access`` filters the vectors before the search (``retrieval.Caller``; ``retrieval.unscoped()`` for tables without scopes).
+
     Queries go out in blocks of ``QUERY_BLOCK``, each compared with all vectors in one pass that keeps k per partition, so
     what is sent and kept is bounded whatever the number of queries or vectors.
     """
-    spark = vectors.sparkSession
+    spark, vectors = vectors.sparkSession, vectors.where(F.coalesce(access, F.lit(False)))
     asked = queries.select(key, vector).where(F.col(key).isNotNull() & F.col(vector).isNotNull())
     blocks = max(1, -(-asked.count() // (QUERY_BLOCK // 2)))
     out = None
@@ -158,6 +178,37 @@ def unknown_vectors(chunks: DataFrame, embedded: DataFrame) -> DataFrame:
     return embedded.select("chunk_id").where(F.col("chunk_id").isNotNull()).distinct().join(chunks.select("chunk_id"), "chunk_id", "left_anti")
 
 
+def checked_points(chunks: DataFrame, embedded: DataFrame) -> DataFrame:
+    """The rows of :func:`payload`, refused as a whole where a vector has no chunk, no text or isn't valid; the check comes before
+    anything is joined."""
+    known = embedded.select("chunk_id", "embedding_model", is_valid("embedding", "dimensions").alias("_ok")).join(chunks.select("chunk_id", (T.normalised("content_text").isNotNull()).alias("_told")).dropDuplicates(["chunk_id"]), "chunk_id", "left")
+    fault = F.when(F.col("_told").isNull(), "unknown chunk: ").when(~F.col("_told"), "empty chunk: ").when(~F.col("_ok"), "invalid vector: ")
+    bad = known.where(fault.isNotNull()).select(F.concat(fault, "chunk_id").alias("fault")).limit(1).collect()
+    if bad:
+        raise ValueError(bad[0]["fault"])
+    return payload(chunks, embedded)
+
+
+#: What an index is made with: its metric and the fields that filters use (fixed values).
+METRIC, INDEXED = "cosine", ("document_id", "agent_id", "source_version", "chunk_type", "classification", "allowed_groups")
+
+
+def ensure_collection(path: str, spark, name: str, dimensions: int) -> dict:
+    """The description of a collection below ``path``, made where it is missing; another width or metric under its name raises."""
+    folder, wanted = f"{path}/{name}/_collection", (name, METRIC, dimensions, ",".join(INDEXED))
+    schema = "name string, metric string, dimensions int, indexed string"
+    try:
+        held = tuple(spark.read.schema(schema).json(folder).first())
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        spark.createDataFrame([wanted], schema).coalesce(1).write.mode("errorifexists").json(folder)
+        held = wanted
+    if held != wanted:
+        raise ValueError(f"collection {name} is there with {held[1]} of {held[2]} values")
+    return dict(zip(("name", "metric", "dimensions", "indexed"), held))
+
+
 def upsert(stored: DataFrame, rows: DataFrame, key: str = "point_id") -> DataFrame:
     """The index after an upsert: stored points whose key isn't given anew, and the new ones (a repeated key once)."""
     return stored.join(rows.select(key).distinct(), key, "left_anti").unionByName(rows.dropDuplicates([key]))

@@ -161,6 +161,7 @@ def anchor_range(first_row, first_col, last_row, last_col):
 def table_rows(cells: DataFrame) -> DataFrame:
     """(sheet_id, region_no, table_name, row, col, column_name, value, kind, unit): the cells below each region's header row as
     rows of a table with named columns; blank rows are skipped. A table is named after its title, else after its region."""
+    cells = cells.select("sheet_id", "row", "col", "value", "kind")
     found = regions(cells)
     head = headers(cells).where(F.col("header_row").isNotNull())
     placed = with_region(cells, found).join(head, ["sheet_id", "region_no"])

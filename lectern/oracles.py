@@ -70,7 +70,23 @@ def _bm25(table: str, key: str, text: str, k: int) -> str:
  GROUP BY query_id, {key}) QUALIFY rank <= {k}"""
 
 
-_CHUNKS_ONCE = "(SELECT DISTINCT chunk_id, document_id, parent_node_id, chunk_type, content_text FROM chunks)"
+_GROUPS = "['grp-brake', 'grp-thermal', 'grp-harness']"
+_CHUNKS_ONCE = f"(SELECT DISTINCT chunk_id, document_id, parent_node_id, chunk_type, content_text FROM chunks WHERE list_has_any(CAST(json_extract(metadata, '$.security_scope.allowed_groups') AS VARCHAR[]), {_GROUPS}))"
+_TREE = r"""
+WITH r AS (SELECT DISTINCT artifact_id, master_json AS j FROM canonical_artifacts WHERE json_valid(master_json)),
+v AS (SELECT artifact_id, CASE WHEN json_type(j) <> 'VARCHAR' THEN j WHEN json_valid(json_extract_string(j, '$')) THEN json_extract_string(j, '$') END AS j FROM r),
+n AS (SELECT artifact_id, fullkey, value AS v, row_number() OVER (PARTITION BY artifact_id ORDER BY e.id) - 1 AS ord, regexp_replace(fullkey, '\.children(\[\d+\])?$', '') AS up, json_extract(value, '$.attributes.retrieval_allowed') = 'false' AS review
+ FROM v, json_tree(v.j) e WHERE e.type = 'OBJECT' AND regexp_matches(fullkey, '^\$\.root_nodes(\[\d+\])?(\.children(\[\d+\])?)*$')),
+t AS (SELECT n.artifact_id, n.ord, json_extract_string(n.v, '$.node_id') AS node_id, json_extract_string(n.v, '$.node_type') AS node_type, json_extract_string(n.v, '$.provenance.page_number') AS page_number, n.v AS v,
+ coalesce(p.ord, -1) AS parent_ord, (len(n.fullkey) - len(replace(n.fullkey, '.children', ''))) // 9 AS depth, coalesce(n.review, false) AS review,
+ (SELECT count(*) FROM n c WHERE c.artifact_id = n.artifact_id AND c.up = n.fullkey AND c.fullkey <> n.fullkey) AS n_children,
+ EXISTS (SELECT 1 FROM n a WHERE a.artifact_id = n.artifact_id AND a.review AND (n.fullkey = a.fullkey OR starts_with(n.fullkey, a.fullkey || '.children'))) AS blocked
+ FROM n LEFT JOIN n p ON p.artifact_id = n.artifact_id AND p.fullkey = n.up AND p.fullkey <> n.fullkey)"""
+_ELEMENTS = r"""
+WITH v AS (SELECT extraction_id, CASE WHEN json_type(j) <> 'VARCHAR' THEN j WHEN json_valid(json_extract_string(j, '$')) THEN json_extract_string(j, '$') END AS j FROM (SELECT DISTINCT extraction_id, exported AS j FROM extraction_results WHERE json_valid(exported))),
+t AS (SELECT extraction_id AS record_id, json_extract_string(value, '$.self_ref') AS self_ref, json_extract_string(value, '$.label') AS label,
+ CASE WHEN try_cast(coalesce(json_extract_string(value, '$.prov[0].page_no'), json_extract_string(value, '$.prov.page_no')) AS INT) >= 1 THEN try_cast(coalesce(json_extract_string(value, '$.prov[0].page_no'), json_extract_string(value, '$.prov.page_no')) AS INT) END AS page_no,
+ CASE WHEN trim(json_extract_string(value, '$.text')) <> '' THEN length(json_extract_string(value, '$.text')) END AS chars FROM v, json_tree(v.j) e WHERE e.type = 'OBJECT' AND json_extract_string(value, '$.self_ref') IS NOT NULL)"""
 _CELLS = """(SELECT c_custkey, unnest([{'col': 1, 'column_name': 'c_name', 'value': c_name}, {'col': 2, 'column_name': 'c_nationkey', 'value': c_nationkey::varchar}, {'col': 3, 'column_name': 'c_acctbal', 'value': c_acctbal::varchar}, {'col': 4, 'column_name': 'c_mktsegment', 'value': c_mktsegment}], recursive := true) FROM customer)"""
 _KIND = r"""CASE WHEN value IS NULL OR trim(value) = '' THEN 'empty' WHEN lower(trim(value)) IN ('true', 'false') THEN 'boolean' WHEN regexp_matches(trim(value), '^[+-]?\d+$') THEN 'integer' WHEN regexp_matches(trim(value), '^[+-]?(?:\d+\.\d*|\.\d+|\d+)(?:[eE][+-]?\d+)?$') THEN 'float' ELSE 'string' END"""
 _SHEET = f"""(SELECT *, {_KIND} AS kind FROM (SELECT p_brand AS sheet_id, p_partkey::int AS row, unnest([{{'col': 1, 'value': p_name}}, {{'col': 2, 'value': p_type}}, {{'col': 3, 'value': p_size::varchar}}, {{'col': 4, 'value': p_retailprice::varchar}}], recursive := true) FROM part) WHERE value IS NOT NULL AND trim(value) <> '')"""
@@ -168,7 +184,31 @@ FROM (SELECT DISTINCT ON (chunk_id) * FROM chunks) JOIN (SELECT DISTINCT chunk_i
         "parent_expansion": f"SELECT DISTINCT a.chunk_id, b.chunk_id AS sibling_id FROM {_CHUNKS_ONCE} a JOIN (SELECT DISTINCT chunk_id FROM ({_bm25(_CHUNKS_ONCE, 'chunk_id', 'content_text', 10)})) f USING (chunk_id) JOIN {_CHUNKS_ONCE} b ON a.document_id = b.document_id AND a.parent_node_id = b.parent_node_id AND a.chunk_id <> b.chunk_id",
         "context_budget": f"SELECT * FROM (SELECT query_id, chunk_id, rank, sum(length(coalesce(content_text, ''))) OVER (PARTITION BY query_id ORDER BY rank ROWS UNBOUNDED PRECEDING)::bigint AS used_chars FROM ({_bm25(_CHUNKS_ONCE, 'chunk_id', 'content_text', 10)}) JOIN {_CHUNKS_ONCE} USING (chunk_id)) WHERE used_chars <= 4000",
         "source_labels": "SELECT CASE WHEN coalesce(policy_version = 'canonical-chunks-v2', false) THEN 'approved_source' WHEN chunk_type = 'table_row' THEN 'structured_data' ELSE 'supporting_text' END AS label, count(*) AS n FROM (SELECT DISTINCT chunk_id, chunk_type, policy_version FROM chunks) GROUP BY label",
-        "intents": "SELECT 'Domain_qn' AS intent, 'retrieve' AS route, count(*) AS n FROM eval_items",
+        "intents": f"""WITH q AS (SELECT CASE WHEN item_id % 5 = 0 THEN 'Thank you very much' WHEN item_id % 5 = 1 THEN substr({norm('text')}, 1, 2) ELSE text END AS q FROM eval_items),
+w AS (SELECT q, list_filter({tokens('q')}, lambda w: len(w) > 2 AND NOT list_contains(['what', 'about', 'the', 'this', 'that', 'these', 'those', 'and', 'how', 'why', 'its', 'one', 'ones', 'more', 'tell'], w)) AS w FROM q),
+i AS (SELECT CASE WHEN q IS NULL THEN 'Domain_qn' WHEN q = 'Thank you very much' THEN 'general_chat' WHEN len(w) = 0 THEN 'clarification_qn' ELSE 'Domain_qn' END AS intent FROM w)
+SELECT intent, CASE intent WHEN 'general_chat' THEN 'canned_reply' WHEN 'clarification_qn' THEN 'clarify' ELSE 'retrieve' END AS route, count(*) AS n FROM i GROUP BY ALL""",
+        "canonical_nodes": _TREE + " SELECT artifact_id, ord, node_id, parent_ord, depth, node_type, n_children, blocked, page_number FROM t",
+        "node_inspection": _TREE + " SELECT artifact_id, count(*) AS n_nodes, count(*) FILTER (blocked) AS n_blocked, max(depth) AS deepest, count(*) FILTER (node_type = 'page') AS pages, count(*) FILTER (node_type = 'slide') AS slides, count(*) FILTER (node_type = 'sheet') AS sheets, count(*) FILTER (node_type = 'table') AS tables FROM t GROUP BY artifact_id",
+        "subtree_flags": _TREE + ", u AS (SELECT *, max(CASE WHEN depth = 0 THEN ord END) OVER (PARTITION BY artifact_id ORDER BY ord) AS top_ord FROM t) SELECT u.artifact_id, u.top_ord, h.node_id, count(*) FILTER (u.review) AS n_review FROM u JOIN t h ON h.artifact_id = u.artifact_id AND h.ord = u.top_ord GROUP BY ALL",
+        "node_references": _TREE + ", x AS (SELECT artifact_id, ord, unnest(CAST(json_extract(v, '$.attributes.references') AS JSON[])) AS r, generate_subscripts(CAST(json_extract(v, '$.attributes.references') AS JSON[]), 1) - 1 AS at_no FROM t WHERE json_type(v, '$.attributes.references') = 'ARRAY') SELECT artifact_id, ord, at_no AS \"at\", json_extract_string(r, '$.reference_id') AS reference_id, json_extract_string(r, '$.status') AS status FROM x",
+        "canonical_branches": _TREE + """, b AS (SELECT node_type, unnest(list_filter([CASE WHEN node_type IN ('table', 'table_header', 'table_row', 'table_cell', 'embedded_dataset') THEN 'sql' END,
+ CASE WHEN node_type IN ('paragraph', 'text_block', 'bullet_block', 'title_block', 'note_block', 'guideline_block', 'reference_block', 'measurement_block', 'caption', 'table_row') THEN 'semantic' END,
+ CASE WHEN node_type IN ('workbook', 'sheet', 'page', 'slide', 'section', 'region', 'table', 'image', 'embedded_dataset', 'form_section') THEN 'catalog' END,
+ CASE WHEN node_type IN ('image', 'image_region', 'callout_label', 'ocr_block', 'caption') THEN 'visual' END], lambda x: x IS NOT NULL)) AS branch FROM t) SELECT branch, node_type, count(*) AS n FROM b GROUP BY ALL""",
+        "export_elements": _ELEMENTS + " SELECT * FROM t",
+        "missing_pages": _ELEMENTS + ", e AS (SELECT DISTINCT extraction_id AS record_id, unnest(range(1, page_count + 1)) AS page_no FROM extraction_results WHERE page_count >= 1) SELECT record_id, count(*) AS n_missing FROM e WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.record_id = e.record_id AND t.page_no = e.page_no) GROUP BY record_id",
+        "suspicious_numbers": r"""SELECT chunk_id, regexp_matches(w, '(?i)\b(resistivity|conductivity|dielectric|thermal|expansion|coefficient|ohm|volume|surface)\b') AND NOT regexp_matches(w, '10\s*(\^|[⁰¹²³⁴⁵⁶⁷⁸⁹])') AND regexp_matches(w, '(^|[^0-9A-Za-z_])10[0-9]{3,}($|[^0-9A-Za-z_])') AS is_suspicious
+FROM (SELECT DISTINCT chunk_id, CASE WHEN right(chunk_id, 1) < '8' THEN 'Volume of ' ELSE '' END || regexp_replace(content_text, '([0-9]+)', '10\1', 'g') AS w FROM chunks WHERE content_text IS NOT NULL)""",
+        "hybrid_fusion": f"""WITH e AS (SELECT DISTINCT chunk_id, CAST(embedding AS DOUBLE[]) AS v FROM embedded_chunks WHERE embedding_model = 'dense-std-64' AND len(embedding) = dimensions AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT DISTINCT chunk_id AS query_id, content_text AS query_text, v FROM e JOIN chunks USING (chunk_id) WHERE content_text IS NOT NULL ORDER BY chunk_id LIMIT 3),
+near AS (SELECT query_id, e.chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY round(list_cosine_similarity(s.v, e.v), 12) DESC, e.chunk_id) AS rank FROM s, e JOIN {_CHUNKS_ONCE} c ON c.chunk_id = e.chunk_id WHERE e.chunk_id <> query_id QUALIFY rank <= 20),
+lex AS ({_bm25(_CHUNKS_ONCE, 'chunk_id', 'content_text', 20).replace(_SEARCHES, 's')}),
+f AS (SELECT query_id, chunk_id, round(sum(1.0 / (60 + rank)), 9) AS score FROM (SELECT query_id, chunk_id, rank FROM near UNION ALL SELECT query_id, chunk_id, rank FROM lex) GROUP BY ALL)
+SELECT query_id, chunk_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM f QUALIFY rank <= 10""",
+        "discovered_sources": f"""SELECT query_id, doc_id AS source_id, count(*) AS n_terms FROM (SELECT DISTINCT doc_id, unnest({tokens("coalesce(document_title, '')")}) AS token FROM documents) JOIN (SELECT DISTINCT query_id, unnest({tokens('query_text')}) AS token FROM {_SEARCHES}) USING (token) GROUP BY ALL""",
+        "query_parts": """SELECT item_id AS query_id, p.part_no, CASE p.part_no WHEN 2 THEN item_id::varchar ELSE p.part_text END AS part_text, p.part_type FROM (SELECT DISTINCT item_id FROM eval_items WHERE text IS NOT NULL),
+ (VALUES (0, 'How many parts leaked', 'aggregate'), (1, 'compare lot A-1 and lot B-2', 'comparison'), (2, '', 'lookup'), (3, 'why so', 'narrative')) p(part_no, part_text, part_type)""",
         "last_turns": "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 4",
         "structured_aggregate": "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, round(avg(l_discount), 6) AS avg_disc, min(l_shipdate) AS first_ship, count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY ALL",
         "structured_filter": "SELECT l_orderkey, l_linenumber, l_quantity, l_discount FROM lineitem WHERE l_quantity BETWEEN 10 AND 20 AND l_returnflag = 'R' AND l_discount >= 0.05",

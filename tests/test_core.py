@@ -184,8 +184,8 @@ def test_vectors(spark):
     with pytest.raises(Exception, match="other vectors"):
         vectors.embed(chunks, vectors.hashed_provider(8), "m", 9).collect()
     table = spark.createDataFrame([(i, [float(i == 0), float(i % 3), 1.0]) for i in range(9)] + [(99, None)], "vec_id bigint, embedding array<float>")
-    got = vectors.top_k(table, table.where("vec_id = 0"), "vec_id", "embedding", 3).orderBy("rank").collect()
-    assert [r.vec_id for r in got] == [3, 6, 1] and vectors.top_k(table, table.limit(0), "vec_id", "embedding", 3).count() == 0
+    got = vectors.top_k(table, table.where("vec_id = 0"), "vec_id", "embedding", 3, retrieval.unscoped()).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [3, 6, 1] and vectors.top_k(table, table.limit(0), "vec_id", "embedding", 3, retrieval.unscoped()).count() == 0
     stored = spark.createDataFrame([("p", "d", "v1"), ("q", "d", "v2")], "point_id string, document_id string, source_version string")
     assert vectors.upsert(stored, spark.createDataFrame([("q", "e", "v1"), ("r", "e", "v1")], stored.schema)).count() == 3
     assert [r.point_id for r in vectors.without_version(stored, stored.where("source_version = 'v1'")).collect()] == ["q"]
@@ -194,13 +194,13 @@ def test_vectors(spark):
 def test_retrieval(spark):
     docs = spark.createDataFrame([(1, "red bolt and nut"), (2, "red paint"), (3, "green bolt bolt"), (4, None)], "id int, body string")
     queries = spark.createDataFrame([("q", "Bolt"), ("none", "zzz")], "query_id string, query_text string")
-    found = retrieval.bm25(docs, "id", "body", queries)
+    found = retrieval.bm25(docs, "id", "body", queries, retrieval.unscoped())
     assert [(r.id, r["rank"]) for r in found.orderBy("rank").collect()] == [(3, 1), (1, 2)]
     fused = retrieval.fused([found, found.where("id = 1").withColumn("rank", F.lit(1))], "id").orderBy("rank").collect()
     assert [r.id for r in fused] == [1, 3]
     scopes = spark.createDataFrame([(["g1"], None), (None, ["me"]), (["x"], []), (None, None)], "g array<string>, u array<string>")
     assert [r.ok for r in scopes.select(retrieval.permitted(F.col("g"), F.col("u"), ["g1"], "me").alias("ok")).collect()] == [True, True, False, False]
-    assert one(spark, retrieval.parsed_intent(F.lit('```json\n{"intent": "Greeting"}\n```'), F.lit("hi"))).resolved_query == "hi" and one(spark, retrieval.parsed_intent(F.lit("?"), F.lit("hi"))).intent == "Domain_qn"
+    assert one(spark, retrieval.parsed_intent(F.lit('```json\n{"intent": "general_chat"}\n```'), F.lit("hi"))).resolved_query == "hi" and one(spark, retrieval.parsed_intent(F.lit("?"), F.lit("hi"))).intent == "Domain_qn"
     turns = spark.createDataFrame([("c", n) for n in range(7)], "conversation_id string, turn int")
     assert sorted(r.turn for r in retrieval.last_turns(turns).collect()) == [3, 4, 5, 6]
 
