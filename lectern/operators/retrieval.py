@@ -102,15 +102,17 @@ def within_budget(ranked: DataFrame, text: str, budget: int, by: str = "query_id
     return ranked.withColumn("used_chars", F.sum(F.char_length(F.coalesce(F.col(text), F.lit("")))).over(w)).where(F.col("used_chars") <= budget)
 
 
-def evidence_summary(ranked: DataFrame, need: int = 3) -> DataFrame:
-    """Per query: (n_evidence, best_score, is_sufficient, is_confident, has_conflict): enough passages, a best score over
-    the gate relative to the list's maximum, and whether two passages of one parent differ in their technical values."""
-    top = ranked.groupBy("query_id").agg(F.count("*").alias("n_evidence"), F.max("score").alias("best_score"), F.min("score").alias("_least"))
+def evidence_summary(ranked: DataFrame, need: int = 3, gate: float = CONFIDENCE_GATE) -> DataFrame:
+    """Per query: (n_evidence, best_score, confidence, is_sufficient, is_confident, has_conflict): enough passages, the best
+    score brought to 0..1 (score / (1 + score)) against the gate, and whether two passages of one parent differ in their technical
+    values. Queries without a passage have no row."""
+    top = ranked.groupBy("query_id").agg(F.count("*").alias("n_evidence"), F.max("score").alias("best_score"))
+    confidence = F.round(F.col("best_score") / (1 + F.col("best_score")), 6)
     values = ranked.select("query_id", "chunk_id", "parent_node_id", T.technical_values("content_text").alias("v"))
     pair = values.alias("a").join(values.alias("b"), (F.col("a.query_id") == F.col("b.query_id")) & (F.col("a.parent_node_id") == F.col("b.parent_node_id")) & (F.col("a.chunk_id") < F.col("b.chunk_id")))
     conflicts = pair.where(T.technical_difference(F.col("a.v"), F.col("b.v"))).select(F.col("a.query_id").alias("query_id")).distinct().withColumn("_c", F.lit(True))
     joined = top.join(conflicts, "query_id", "left")
-    return joined.select("query_id", "n_evidence", "best_score", (F.col("n_evidence") >= need).alias("is_sufficient"), (F.col("_least") >= CONFIDENCE_GATE * F.col("best_score")).alias("is_confident"), F.coalesce("_c", F.lit(False)).alias("has_conflict"))
+    return joined.select("query_id", "n_evidence", "best_score", confidence.alias("confidence"), (F.col("n_evidence") >= need).alias("is_sufficient"), (confidence >= gate).alias("is_confident"), F.coalesce("_c", F.lit(False)).alias("has_conflict"))
 
 
 #: Why evidence failed and what to do next (fixed values).

@@ -206,6 +206,10 @@ near AS (SELECT query_id, e.chunk_id, row_number() OVER (PARTITION BY query_id O
 lex AS ({_bm25(_CHUNKS_ONCE, 'chunk_id', 'content_text', 20).replace(_SEARCHES, 's')}),
 f AS (SELECT query_id, chunk_id, round(sum(1.0 / (60 + rank)), 9) AS score FROM (SELECT query_id, chunk_id, rank FROM near UNION ALL SELECT query_id, chunk_id, rank FROM lex) GROUP BY ALL)
 SELECT query_id, chunk_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM f QUALIFY rank <= 10""",
+        "evidence_checks": f"""WITH f AS (SELECT * FROM ({_bm25(_CHUNKS_ONCE, 'chunk_id', 'content_text', 10)}) JOIN {_CHUNKS_ONCE} USING (chunk_id)),
+v AS (SELECT query_id, chunk_id, parent_node_id, {values('content_text')} AS v FROM f),
+c AS (SELECT DISTINCT a.query_id FROM v a JOIN v b ON a.query_id = b.query_id AND a.parent_node_id = b.parent_node_id AND a.chunk_id < b.chunk_id WHERE len(list_filter(a.v, lambda x: NOT list_contains(b.v, x))) > 0 AND len(list_filter(b.v, lambda x: NOT list_contains(a.v, x))) > 0)
+SELECT query_id, count(*) AS n_evidence, max(score) AS best_score, round(max(score) / (1 + max(score)), 6) AS confidence, count(*) >= 3 AS is_sufficient, round(max(score) / (1 + max(score)), 6) >= 0.75 AS is_confident, query_id IN (SELECT query_id FROM c) AS has_conflict FROM f GROUP BY query_id""",
         "discovered_sources": f"""SELECT query_id, doc_id AS source_id, count(*) AS n_terms FROM (SELECT DISTINCT doc_id, unnest({tokens("coalesce(document_title, '')")}) AS token FROM documents) JOIN (SELECT DISTINCT query_id, unnest({tokens('query_text')}) AS token FROM {_SEARCHES}) USING (token) GROUP BY ALL""",
         "query_parts": """SELECT item_id AS query_id, p.part_no, CASE p.part_no WHEN 2 THEN item_id::varchar ELSE p.part_text END AS part_text, p.part_type FROM (SELECT DISTINCT item_id FROM eval_items WHERE text IS NOT NULL),
  (VALUES (0, 'How many parts leaked', 'aggregate'), (1, 'compare lot A-1 and lot B-2', 'comparison'), (2, '', 'lookup'), (3, 'why so', 'narrative')) p(part_no, part_text, part_type)""",

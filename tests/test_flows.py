@@ -149,6 +149,8 @@ def test_query_side(spark):
     assert {(r["rank"], r["round"]) for r in deeper.collect()} == {(0, 1), (1, 1)}
     shown = retrieval.projected(lists, spark.createDataFrame([("rank", False), ("x", False)], "column_name string, answer_visible boolean"))
     assert shown.columns == ["query_id", "chunk_id"]
+    passages = spark.createDataFrame([("q", "a", "p", "torque 5", 3.0), ("q", "b", "p", "torque 7", 2.0), ("q", "c", "r", None, 1.0), ("z", "d", "p", "torque 5", 0.5)], "query_id string, chunk_id string, parent_node_id string, content_text string, score double")
+    assert {(r.query_id, r.confidence, r.is_sufficient, r.is_confident, r.has_conflict) for r in retrieval.evidence_summary(passages).collect()} == {("q", 0.75, True, True, True), ("z", 0.333333, False, False, False)}
     given = spark.sql("SELECT 'q' AS query_id, 'u' AS user_id, -1 AS rating, 'no' AS comment, 0.9D AS confidence, TIMESTAMP'2024-01-01 00:00:00' AS created_at UNION ALL SELECT 'q', 'v', 1, NULL, 0.8D, TIMESTAMP'2024-01-01 00:00:00'")
     assert {(r.user_id, r.escalated, str(r.due_at)) for r in retrieval.feedback_rows(given).collect()} == {("u", True, "2024-01-01 00:15:00"), ("v", False, "None")}
 
