@@ -179,3 +179,25 @@ def test_providers_and_sheets(spark):
     pics = spark.createDataFrame([("s", "i", 1, 0, 2, 1), ("s", "j", 40, 2, None, None)], "sheet_id string, image_id string, row int, col int, last_row int, last_col int")
     assert {(r.image_id, r.cell_range, r.confidence) for r in workbook.image_nodes(pics, cells).collect()} == {("i", "A2:B3", 0.82), ("j", "C41:C41", 0.68)}
     assert {r.column_name for r in pipeline.branch_tables(data).collect()} == {"part", "load_mm"}
+
+
+def test_jobs(spark, tmp_path):
+    from lectern import jobs
+
+    doc = document(node("section", "s", children=[node("paragraph", "p", "Torque is 5 Nm.")])) | {"agent_id": "brake-agent", "security_scope": {"allowed_groups": ["g"]}}
+    artifacts, files = str(tmp_path / "artifacts"), tmp_path / "in"
+    spark.createDataFrame([(1, json.dumps(doc))], "artifact_id bigint, master_json string").write.parquet(artifacts)
+    files.mkdir()
+    (files / "a.txt").write_bytes(b"one\n\ntwo")
+    jobs.main(["chunks", "--artifacts", artifacts, "--store", str(tmp_path / "chunks")], spark)
+    jobs.main(["index", "--artifacts", artifacts, "--store", str(tmp_path / "index"), "--dimensions", "8"], spark)
+    assert spark.read.parquet(str(tmp_path / "chunks")).count() == 1 and spark.read.parquet(str(tmp_path / "index")).count() == 1
+    for _ in range(2):  # the second run finds nothing new
+        jobs.main(["ingest", "--files", str(files), "--agent", "brake-agent", "--key", "k", "--store", str(tmp_path / "store"), "--manifests", str(tmp_path / "manifests")], spark)
+    assert spark.read.parquet(str(tmp_path / "store")).count() == 1 and spark.read.parquet(str(tmp_path / "manifests")).count() == 1
+    listing = str(tmp_path / "listing")
+    spark.createDataFrame([("a", "txt", "passed")], "path string, source_type string, status string").write.parquet(listing)
+    jobs.main(["report", "--inventory", listing, "--results", listing, "--store", str(tmp_path / "report")], spark)
+    assert spark.read.json(str(tmp_path / "report")).first().n_passed == 1
+    with pytest.raises(SystemExit):
+        jobs.main(["unknown"], spark)
