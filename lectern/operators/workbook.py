@@ -22,20 +22,20 @@ def cleaned(cells: DataFrame) -> DataFrame:
 
 def regions(cells: DataFrame) -> DataFrame:
     """(sheet_id, region_no, first_row, last_row, max_col): runs of rows with at least one cell, numbered from 0."""
-    rows = cells.select("sheet_id", "row").distinct()
+    rows = cells.where(F.col("sheet_id").isNotNull()).groupBy("sheet_id", "row").agg(F.max("col").alias("max_col"))
     w = Window.partitionBy("sheet_id").orderBy("row")
-    runs = rows.withColumn("_run", F.col("row") - F.row_number().over(w)).groupBy("sheet_id", "_run").agg(F.min("row").alias("first_row"), F.max("row").alias("last_row"))
-    width = cells.groupBy("sheet_id").agg(F.max("col").alias("max_col"))
+    runs = rows.withColumn("_run", F.col("row") - F.row_number().over(w)).groupBy("sheet_id", "_run").agg(F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.max("max_col").alias("max_col"))
     numbered = runs.withColumn("region_no", F.row_number().over(Window.partitionBy("sheet_id").orderBy("first_row")) - 1)
-    return numbered.join(width, "sheet_id").select("sheet_id", "region_no", "first_row", "last_row", "max_col")
+    return numbered.select("sheet_id", "region_no", "first_row", "last_row", F.max("max_col").over(Window.partitionBy("sheet_id")).alias("max_col"))
 
 
 def with_region(cells: DataFrame, found: DataFrame, sample: bool = False) -> DataFrame:
     """Cells with the region they lie in, of all rows or the first ``SAMPLE_ROWS``. Regions are spread over their rows, so the
-    join is on sheet and row."""
+    join is on sheet and row. It is a merge join: the size of a table file says little about the number of its regions, and a
+    broadcast of them goes through the driver."""
     last = F.least("last_row", F.col("first_row") + SAMPLE_ROWS - 1) if sample else F.col("last_row")
     rows = found.withColumn("row", F.explode(F.sequence(F.col("first_row"), last)))
-    return cells.join(rows, ["sheet_id", "row"])
+    return cells.join(rows.hint("merge"), ["sheet_id", "row"])
 
 
 def classified(cells: DataFrame, images: DataFrame | None = None) -> DataFrame:
@@ -74,10 +74,9 @@ def headers(cells: DataFrame) -> DataFrame:
     placed = with_region(cells, found, sample=True)
     rows = placed.groupBy("sheet_id", "region_no", "first_row", "row").agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "string").alias("texts"), F.min_by("value", "col").alias("only"))
     is_header = (F.col("n") >= 2) & (F.col("texts") >= F.greatest(F.lit(1), F.floor(F.col("n") / 2)))
-    head = rows.groupBy("sheet_id", "region_no").agg(F.min(F.when(is_header, F.col("row"))).alias("header_row"))
-    titled = rows.join(head, ["sheet_id", "region_no"]).where((F.col("n") == 1) & (F.col("row") < F.coalesce("header_row", F.col("first_row") + 3)))
-    titles = titled.groupBy("sheet_id", "region_no").agg(F.min_by(T.normalised("only"), "row").alias("title"))
-    return head.join(titles, ["sheet_id", "region_no"], "left")
+    headed = rows.withColumn("header_row", F.min(F.when(is_header, F.col("row"))).over(Window.partitionBy("sheet_id", "region_no")))
+    titled = (F.col("n") == 1) & (F.col("row") < F.coalesce("header_row", F.col("first_row") + 3))
+    return headed.groupBy("sheet_id", "region_no").agg(F.min("header_row").alias("header_row"), F.min_by(T.normalised("only"), F.when(titled, F.col("row"))).alias("title"))
 
 
 def column_names(labels: DataFrame, keys: list[str], position: str, label: str) -> DataFrame:
@@ -162,12 +161,11 @@ def table_rows(cells: DataFrame) -> DataFrame:
     """(sheet_id, region_no, table_name, row, col, column_name, value, kind, unit): the cells below each region's header row as
     rows of a table with named columns; blank rows are skipped. A table is named after its title, else after its region."""
     cells = cells.select("sheet_id", "row", "col", "value", "kind")
-    found = regions(cells)
     head = headers(cells).where(F.col("header_row").isNotNull())
-    placed = with_region(cells, found).join(head, ["sheet_id", "region_no"])
+    placed = with_region(cells, regions(cells).join(head.hint("merge"), ["sheet_id", "region_no"]))
     labels = placed.where(F.col("row") == F.col("header_row"))
     named = column_names(labels.select("sheet_id", "region_no", "col", "value"), ["sheet_id", "region_no"], "col", "value").select("sheet_id", "region_no", "col", "column_name")
-    below = placed.where(F.col("row") > F.col("header_row")).join(named, ["sheet_id", "region_no", "col"], "left")
+    below = placed.where(F.col("row") > F.col("header_row")).join(named.hint("merge"), ["sheet_id", "region_no", "col"], "left")
     name = F.coalesce("column_name", F.concat(F.lit("column_"), F.col("col").cast("string")))
     title = F.coalesce(F.when(F.col("title").isNotNull(), T.column_name("title")), F.concat(F.lit("table_"), (F.col("region_no") + 1).cast("string")))
     return below.select("sheet_id", "region_no", title.alias("table_name"), "row", "col", name.alias("column_name"), "value", "kind", T.unit_of("value", name).alias("unit"))

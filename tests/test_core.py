@@ -220,6 +220,25 @@ def test_workbook(spark):
     assert near.text == "Row 1: Sensors 2024\nRow 2: Name | Range | name\nRow 3: Radar | 120"
 
 
+def plan_of(df):
+    """The plan as it ran, with what was decided on the way."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def stored_cells(spark, folder):
+    """A table file so small that Spark would broadcast whatever comes from it."""
+    rows = [("s", 1, 1, "Sensors", "string"), ("s", 2, 1, "Name", "string"), ("s", 2, 2, "Range", "string"), ("s", 3, 1, "Radar", "string"), ("s", 3, 2, "120", "integer"), ("s", 9, 1, "a note", "string"), ("t", 1, 1, "Name", "string"), ("t", 1, 2, "Unit", "string"), ("t", 2, 2, "mm", "string"), (None, 1, 1, "lost", "string")]
+    spark.createDataFrame(rows, "sheet_id string, row int, col int, value string, kind string").write.parquet(f"{folder}/cells")
+    return spark.read.parquet(f"{folder}/cells")
+
+
+def test_workbook_tree_broadcasts_nothing(spark, tmp_path):
+    nodes = workbook.tree("w", stored_cells(spark, tmp_path))
+    assert "Broadcast" not in plan_of(nodes)
+    assert {r.node_type: r["count"] for r in nodes.groupBy("node_type").count().collect()} == {"workbook": 1, "sheet": 3, "region": 3, "table": 2, "table_row": 2, "table_cell": 3}
+
+
 def packed(**files):
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as package:
