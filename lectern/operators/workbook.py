@@ -67,16 +67,21 @@ def sheet_class(found: DataFrame) -> DataFrame:
     return found.groupBy("sheet_id").agg(F.when(F.count_distinct("classification") == 1, F.min("classification")).otherwise("MIXED").alias("classification"))
 
 
-def headers(cells: DataFrame) -> DataFrame:
-    """(sheet_id, region_no, header_row, title): the first sampled row of at least two cells, half of them text; and the
-    text of the first row above it (or of the first three where there is no header) that has exactly one cell."""
-    found = regions(cells)
-    placed = with_region(cells, found, sample=True)
-    rows = placed.groupBy("sheet_id", "region_no", "first_row", "row").agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "string").alias("texts"), F.min_by("value", "col").alias("only"))
+def headed_regions(cells: DataFrame) -> DataFrame:
+    """(sheet_id, region_no, first_row, last_row, header_row, title): regions with the first sampled row of at least two cells, half
+    of them text; and the text of the first row above it (or of the first three where there is no header) that has exactly one cell."""
+    placed = with_region(cells, regions(cells), sample=True)
+    keys = ["sheet_id", "region_no", "first_row", "last_row"]
+    rows = placed.groupBy(*keys, "row").agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "string").alias("texts"), F.min_by("value", "col").alias("only"))
     is_header = (F.col("n") >= 2) & (F.col("texts") >= F.greatest(F.lit(1), F.floor(F.col("n") / 2)))
     headed = rows.withColumn("header_row", F.min(F.when(is_header, F.col("row"))).over(Window.partitionBy("sheet_id", "region_no")))
     titled = (F.col("n") == 1) & (F.col("row") < F.coalesce("header_row", F.col("first_row") + 3))
-    return headed.groupBy("sheet_id", "region_no").agg(F.min("header_row").alias("header_row"), F.min_by(T.normalised("only"), F.when(titled, F.col("row"))).alias("title"))
+    return headed.groupBy(*keys).agg(F.min("header_row").alias("header_row"), F.min_by(T.normalised("only"), F.when(titled, F.col("row"))).alias("title"))
+
+
+def headers(cells: DataFrame) -> DataFrame:
+    """(sheet_id, region_no, header_row, title) of :func:`headed_regions`."""
+    return headed_regions(cells).select("sheet_id", "region_no", "header_row", "title")
 
 
 def column_names(labels: DataFrame, keys: list[str], position: str, label: str) -> DataFrame:
@@ -161,8 +166,7 @@ def table_rows(cells: DataFrame) -> DataFrame:
     """(sheet_id, region_no, table_name, row, col, column_name, value, kind, unit): the cells below each region's header row as
     rows of a table with named columns; blank rows are skipped. A table is named after its title, else after its region."""
     cells = cells.select("sheet_id", "row", "col", "value", "kind")
-    head = headers(cells).where(F.col("header_row").isNotNull())
-    placed = with_region(cells, regions(cells).join(head.hint("merge"), ["sheet_id", "region_no"]))
+    placed = with_region(cells, headed_regions(cells).where(F.col("header_row").isNotNull()))
     labels = placed.where(F.col("row") == F.col("header_row"))
     named = column_names(labels.select("sheet_id", "region_no", "col", "value"), ["sheet_id", "region_no"], "col", "value").select("sheet_id", "region_no", "col", "column_name")
     below = placed.where(F.col("row") > F.col("header_row")).join(named.hint("merge"), ["sheet_id", "region_no", "col"], "left")

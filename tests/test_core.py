@@ -239,6 +239,14 @@ def test_workbook_tree_broadcasts_nothing(spark, tmp_path):
     assert {r.node_type: r["count"] for r in nodes.groupBy("node_type").count().collect()} == {"workbook": 1, "sheet": 3, "region": 3, "table": 2, "table_row": 2, "table_cell": 3}
 
 
+def test_sheet_rows_broadcast_nothing(spark, tmp_path):
+    cells = stored_cells(spark, tmp_path)
+    data, head = workbook.table_rows(cells), workbook.headers(cells)
+    assert "Broadcast" not in plan_of(data) and "Broadcast" not in plan_of(head)
+    assert {(r.sheet_id, r.table_name, r.row, r.column_name, r.value) for r in data.collect()} == {("s", "sensors", 3, "name", "Radar"), ("s", "sensors", 3, "range", "120"), ("t", "table_1", 2, "unit", "mm")}
+    assert {tuple(r) for r in head.collect()} == {("s", 0, 2, "Sensors"), ("s", 1, None, "a note"), ("t", 0, 1, None)}
+
+
 def packed(**files):
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as package:
